@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import sys
 import tempfile
 import uuid
+from collections.abc import Callable
+from types import ModuleType
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,9 +61,9 @@ def text_of(column: Column) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
-    """Labelled rows to learn from: (doc_id, text, label), at most about ``per_class`` a class.
+    """Labelled rows to learn from: (doc_id, text, label, share), at most about ``per_class`` a class.
 
-    Held-out rows never enter. Repeated or contradictory labels of an id count once, by their
+    ``share`` is the part of its class that was taken. Held-out rows never enter. Repeated or contradictory labels of an id count once, by their
     maximum. A class above the bound is thinned by a hash of the id, so the sample is the same
     in every run and does not depend on the order of rows.
     """
@@ -75,5 +78,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     for value, n in sizes.items():
         share = F.when(F.col("label") == value, F.lit(min(1.0, per_class / n))).otherwise(share)
     point = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(17)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    marks = marks.where(point < share)
+    marks = marks.where(point < share).withColumn("share", share)
     return docs.select("doc_id", text_of(F.col("text")).alias("text")).join(marks, "doc_id")
+
+
+def once_per_process(key, make: Callable):
+    """``make()``, kept for all later tasks of this Python process.
+
+    Functions reach an executor by value, so a module's own globals would be new in every task.
+    """
+    held = sys.modules.setdefault("_tidelog_held", ModuleType("_tidelog_held")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]

@@ -72,7 +72,9 @@ def ball_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     if radius % 2:
         raise ValueError("the radius must be even: each side emits half of it")
-    distinct, half = fps.select("fp").distinct(), radius // 2
+    # by number, so that the few bytes of the fingerprints are not gathered before each makes 65 rows
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct, half = fps.select("fp").repartition(parts, "fp").distinct(), radius // 2
     if half == 0:
         return distinct.select(F.col("fp").alias("hub"), "fp").where(F.lit(False))
     if half == 1:  # a group is its centre plus a 64-bit mask of the flipped bits: plain long aggregates

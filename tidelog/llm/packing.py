@@ -18,26 +18,29 @@ import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, text_of
+from .common import durable, once_per_process, text_of
 
 CAPACITY, END = 2048, 0
 #: Ranks are counted in blocks of about so many pieces.
-BLOCK = 50_000
+BLOCK = 2_000
 #: Placement ranges up to this number (32 bytes each) are sent to every executor; more are shuffled.
 FEW_RANGES = 200_000
 #: Characters on which the fast encoder has been tested equal to the plain one.
 PLAIN = r"[\n\t\x20-\x7e¡-ɏ‐-‧]*"
 
 
-@lru_cache(maxsize=4)
 def encoder(vocabulary: str):
+    """The encoder of ``vocabulary``, read once in a process."""
+    return once_per_process(("encoder", vocabulary), lambda: read_encoder(vocabulary))
+
+
+def read_encoder(vocabulary: str):
     """text -> numpy array of ids by the tokenizers file ``vocabulary``, no special tokens added.
 
     Names of special tokens in a text are ordinary text. If the same vocabulary lies beside the

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, mixing, near_dedup, packing
+from . import chat, fingerprints, mixing, near_dedup, packing, pii, quality_classifier, quality_rules, secrets, toxicity
 
 #: Target weights of the mixing query; sources not named have weight 1.
 WEIGHTS = {"src0": 4.0, "src1": 2.0, "src2": 0.5}
@@ -16,28 +16,58 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_docs(spark, sf_dir), WEIGHTS).select("doc_id", "text", "lang", "source", "n_chars", "copy", "n_copies")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.pseudonymise(_docs(spark, sf_dir))
+    counts = [F.size(F.filter("pii", lambda k, name=name: k == name)).alias(f"n_{name}") for name in pii.FORMATS]
+    return found.select("doc_id", "text", *counts)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    return toxicity.score(docs, *toxicity.learn(docs, _labels(spark, sf_dir)))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_docs(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op6_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_docs(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    return quality_classifier.score(docs, *quality_classifier.learn(docs, _labels(spark, sf_dir)))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(_docs(spark, sf_dir))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(_docs(spark, sf_dir))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(_docs(spark, sf_dir))
     return found.select("doc_id", near_dedup.hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 QUERIES = {
-    "op1_mixing": op1_mixing,
-    "op4_packing": op4_packing,
-    "op8_simhash": op8_simhash,
-    "op10_near_dedup": op10_near_dedup,
+    f.__name__: f
+    for f in (op1_mixing, op2_pii, op3_toxicity, op4_packing, op5_chat, op6_fertility, op7_quality, op8_simhash, op9_secrets, op10_near_dedup)
 }
 
 ORACLES = {
