@@ -26,7 +26,8 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.pseudonymise(_docs(spark, sf_dir))
-    counts = [F.size(F.filter("pii", lambda k, name=name: k == name)).alias(f"n_{name}") for name in pii.FORMATS]
+    count = lambda name: F.size(F.filter("pii", lambda k: k == F.lit(name))).alias(f"n_{name}")
+    counts = [count(name) for name in pii.FORMATS]
     return found.select("doc_id", "text", *counts)
 
 
