@@ -79,7 +79,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
         share = F.when(F.col("label") == value, F.lit(min(1.0, per_class / n))).otherwise(share)
     point = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(17)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     marks = marks.where(point < share).withColumn("share", share)
-    return docs.select("doc_id", text_of(F.col("text")).alias("text")).join(marks, "doc_id")
+    # at most about 2 * per_class rows of three numbers: small by its parameter, so no text is shuffled
+    return docs.select("doc_id", text_of(F.col("text")).alias("text")).join(F.broadcast(marks), "doc_id")
 
 
 def once_per_process(key, make: Callable):
