@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ MIN_WORDS, MAX_REPEAT, MAX_FALLBACK = 50, 50, 0.2
 BELOW, ABOVE, SLACK = 2.5, 6.0, 0.03
 #: Groups with fewer documents than this are judged by the bands of all.
 LEAST = 30
+#: Bands of up to so many groups (60 bytes each) are sent to every executor; more are shuffled.
+FEW_GROUPS = 10_000
 MEASURES = ("chars_per_piece", "chars_per_byte_token", "entropy")
 SYMBOLS = "#*$%&|<>"
 _KNOWN = 300_000
@@ -33,7 +36,7 @@ _SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
 class Fertility:
-    """Token counts, byte-fallback counts and piece ids of words."""
+    """Piece ids and byte-level token counts of words, each word encoded once and kept."""
 
     def __init__(self, pieces: str, ranks: str):
         import base64
@@ -47,35 +50,50 @@ class Fertility:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.byte_level = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
         self.fallback = np.array([self.pieces.is_byte(k) for k in range(self.pieces.vocab_size())])
+        self.opens = np.zeros(max(table.values()) + 1, dtype=bool)
+        self.opens[[k for token, k in table.items() if token[:1] == b" "]] = True
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.n_byte_level: list[int] = []
+        self.ids, self.sizes, self.starts, self.byte_tokens = (np.empty(0, dtype=np.int64) for _ in range(4))
 
     def add(self, words: set[bytes]) -> None:
+        """Afterwards all ``words`` are known; others may be forgotten."""
         fresh = [w for w in words if w not in self.known]
         if len(self.known) + len(fresh) > _KNOWN:
             self.forget()
             fresh = list(words)
-        if fresh:
-            texts = [w.decode() for w in fresh]
-            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
-            self.ids += [np.array(x, dtype=np.int32) for x in self.pieces.encode(texts, num_threads=1)]
-            encode = self.byte_level.encode_ordinary
-            self.n_byte_level += [len(encode(" " + t)) for t in texts]
-
-    def measure(self, words: list[bytes], chars: int) -> tuple[float, float, float, float]:
-        """Characters per piece, per byte-level token, entropy as a share of its maximum, fallback share."""
-        self.add(set(words))
-        which = [self.known[w] for w in words]
-        ids = np.concatenate([self.ids[k] for k in which])
-        counts = np.unique(ids, return_counts=True)[1]
-        n = len(ids)
+        if not fresh:
+            return
+        texts = [w.decode() for w in fresh]
+        found = self.pieces.encode(texts, num_threads=1)
+        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        # in one run: a token that begins with a space begins a word, as no word has a space
+        tokens = np.array(self.byte_level.encode_ordinary(" " + " ".join(texts)), dtype=np.int64)
+        if self.opens[tokens].sum() == len(fresh):
+            counts = np.bincount(np.cumsum(self.opens[tokens]) - 1, minlength=len(fresh))
+        else:  # words of other white space only may run together
+            counts = np.array([len(self.byte_level.encode_ordinary(" " + t)) for t in texts])
+        self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
+        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(sizes) - sizes))
+        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(found), dtype=np.int64, count=int(sizes.sum()))))
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.byte_tokens = np.concatenate((self.byte_tokens, counts))
+
+    def measure(self, words: list[bytes], chars: int) -> tuple:
+        """Of known words: characters per piece, per byte-level token, entropy as a share of its maximum, fallback share."""
+        which = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+        sizes = self.sizes[which]
+        ends = np.cumsum(sizes)
+        n = int(ends[-1])
+        if not n:  # a vocabulary may drop every character
+            return (None,) * 4
+        ids = self.ids[np.repeat(self.starts[which] - (ends - sizes), sizes) + np.arange(n)]
+        counts = np.bincount(ids)
+        counts = counts[counts > 0]
         entropy = math.log(n) - float(counts @ np.log(counts)) / n
-        n_byte_level = sum(map(self.n_byte_level.__getitem__, which))
-        return chars / n, chars / n_byte_level, entropy / math.log(n) if n > 1 else 1.0, float(self.fallback[ids].mean())
+        return chars / n, chars / int(self.byte_tokens[which].sum()), entropy / math.log(n) if n > 1 else 1.0, float(self.fallback[ids].mean())
 
 
 def base(text: str) -> tuple[list[bytes], int, int, int, int]:
@@ -109,11 +127,11 @@ def measures(docs: DataFrame, pieces: str, ranks: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fertility = once_per_process(("fertility", pieces, ranks), lambda: Fertility(pieces, ranks))
-        for batch in batches:
-            rows = []
-            for doc_id, lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                t = text.as_py()
-                words, chars, *counts = base(t)
+        for batch in (b.slice(k, 64) for b in batches for k in range(0, b.num_rows, 64)):
+            texts = batch.column(2).to_pylist()
+            bases, rows = [base(t) for t in texts], []
+            fertility.add(set().union(*(b[0] for b in bases)))
+            for doc_id, lang, t, (words, chars, *counts) in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, bases):
                 group = lang if lang is not None else "latin" if 2 * sum(c < "ɐ" for c in t if c.isalpha()) >= sum(map(str.isalpha, t)) else "other"
                 rows.append((doc_id, group, len(words), chars, *counts, *(fertility.measure(words, chars) if words else (None,) * 4)))
             columns = list(zip(*rows)) if rows else [[]] * 11
@@ -143,7 +161,8 @@ def judge(docs: DataFrame, pieces: str, ranks: str) -> DataFrame:
     own, every = found.groupBy("group").agg(*_fences()), found.agg(*_fences())
     names = [f"{m}_{side}" for m in MEASURES for side in ("low", "high")]
     bands = own.crossJoin(F.broadcast(every.select([F.col(n).alias(f"all_{n}") for n in names])))  # one row of bands of all
-    bands = bands.select("group", *[F.when(F.col("judged") >= LEAST, F.col(n)).otherwise(F.col(f"all_{n}")).alias(n) for n in names])
+    bands = durable(bands.select("group", *[F.when(F.col("judged") >= LEAST, F.col(n)).otherwise(F.col(f"all_{n}")).alias(n) for n in names]))
+    bands = F.broadcast(bands) if bands.count() <= FEW_GROUPS else bands
     reason = F.when(F.col("base_failed"), F.lit("base"))
     for m in MEASURES:
         reason = reason.when(F.col(m) < F.col(f"{m}_low"), F.lit(f"{m} low")).when(F.col(m) > F.col(f"{m}_high"), F.lit(f"{m} high"))
