@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, text_of
+from .common import in_small_batches, shared_dir, text_of
 
 ROLES = ("system", "user", "assistant")
 # Names of speakers.
@@ -188,7 +188,7 @@ def sorted_rows(convs: DataFrame) -> DataFrame:
     """The rows, range-sorted by (conversation, turn, text) and fixed so; no conversation needs one partition."""
     spark = convs.sparkSession
     role = F.col("role").cast("string") if "role" in convs.columns else F.lit(None).cast("string")
-    rows = convs.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), role.alias("role"), text_of(F.col("text")).alias("text"))
+    rows = in_small_batches(convs).select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), role.alias("role"), text_of(F.col("text")).alias("text"))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // ROWS))
     keys = [F.col("conv_id"), F.col("turn"), F.xxhash64("text", "role"), F.monotonically_increasing_id()]
     shared_dir(spark)

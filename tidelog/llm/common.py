@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import sys
 import tempfile
 import uuid
@@ -92,3 +93,17 @@ def once_per_process(key, make: Callable):
     if key not in held:
         held[key] = make()
     return held[key]
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose texts are to go to Python in batches of at most 1,000 rows or 16 MB.
+
+    The engine's default of 10,000 rows would hold tens of MB of text several times over (engine,
+    transport, worker) for each task. Sets the two session options only where they are larger.
+    """
+    conf = df.sparkSession.conf
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 1_000), ("spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20)):
+        now = int(re.sub(r"\D", "", conf.get(key)) or 0)
+        if not 0 < now <= most:
+            conf.set(key, str(most))
+    return df

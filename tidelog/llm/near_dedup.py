@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, in_small_batches
 
 BITS, RADIUS, SHINGLE, SEED = 64, 2, 3, 42
 _CHUNK = 1 << 15
@@ -61,7 +61,7 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp): one row per row of ``docs``; null text has fingerprint 0."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    rows = in_small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     return rows.mapInArrow(_fingerprint_batches, "doc_id long, fp long")
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, once_per_process, text_of
+from .common import durable, in_small_batches, once_per_process, text_of
 
 CAPACITY, END = 2048, 0
 #: Ranks are counted in blocks of about so many pieces.
@@ -108,7 +108,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, with_ids:
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), text_of(F.col("text")).alias("text")).mapInArrow(work, schema)
+    return in_small_batches(docs).select(F.col("doc_id").cast("long"), text_of(F.col("text")).alias("text")).mapInArrow(work, schema)
 
 
 def plan_rounds(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, labelled_sample, text_of
+from .common import held_out, in_small_batches, labelled_sample, text_of
 
 THRESHOLD = 0.7
 BUCKETS, DIM, GRAMS = 1 << 17, 16, (3, 4, 5)
@@ -174,5 +174,5 @@ def score(docs: DataFrame, by_bucket: np.ndarray, bias: float) -> DataFrame:
             for part in (batch.slice(k, 256) for k in range(0, batch.num_rows, 256)):
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scorer.scores(part.column(1).to_pylist()))], names=["doc_id", "score"])
 
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text")).mapInArrow(work, "doc_id long, score double")
+    found = in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text")).mapInArrow(work, "doc_id long, score double")
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, once_per_process, text_of
+from .common import durable, in_small_batches, once_per_process, text_of
 
 MIN_WORDS, MAX_REPEAT, MAX_FALLBACK = 50, 50, 0.2
 #: Fences: so many quartile distances below and above the quartiles, and at least this share of the
@@ -139,7 +139,7 @@ def measures(docs: DataFrame, pieces: str, ranks: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in schema.split(", ")])
 
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    return docs.select(F.col("doc_id").cast("long"), lang.alias("lang"), text_of(F.col("text")).alias("text")).mapInArrow(work, schema)
+    return in_small_batches(docs).select(F.col("doc_id").cast("long"), lang.alias("lang"), text_of(F.col("text")).alias("text")).mapInArrow(work, schema)
 
 
 def _fences() -> list:

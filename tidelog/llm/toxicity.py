@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, held_out, labelled_sample, text_of
+from .common import durable, held_out, in_small_batches, labelled_sample, text_of
 
 THRESHOLD = 0.3
 #: Labelled rows learned from, at most about so many a class, and the most lexicon entries.
@@ -229,14 +229,14 @@ def score(docs: DataFrame, lexicon: dict[str, float], weights: np.ndarray) -> Da
             x = np.array([grammar.clauses(t.as_py()) for t in batch.column(1)]).reshape(-1, len(weights) - 1)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_score(x, weights))], names=["doc_id", "score"])
 
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text")).mapInArrow(work, "doc_id long, score double")
+    found = in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text")).mapInArrow(work, "doc_id long, score double")
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def keep_civil(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the documents predicted toxic; all columns and repeated rows stay."""
     lexicon, weights = learn(docs, labels)
-    return docs.mapInArrow(_civil(lexicon, weights, docs.columns.index("text")), docs.schema)
+    return in_small_batches(docs).mapInArrow(_civil(lexicon, weights, docs.columns.index("text")), docs.schema)
 
 
 def _civil(lexicon: dict[str, float], weights: np.ndarray, at: int):
