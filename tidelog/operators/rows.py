@@ -84,35 +84,68 @@ def changes(events: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
     no images; rows of it decoded before the fault are dropped, as their end is not certain.
     """
     schema = _arrow(CHANGES)
-    empty = {"before": None, "after": None}
+    kept = ("log_file", "start_pos", "table_id", "schema", "table", "op", "columns")
+
+    def batch_of(batch: pa.RecordBatch, where: list[int], index: list[int], before: _Images, after: _Images, errors: list) -> pa.RecordBatch:
+        at = pa.array(where, pa.int64())
+        made = {n: batch.column(batch.schema.get_field_index(n)).take(at) for n in kept}
+        made |= {"row_idx": pa.array(index, pa.int32()), "before": before.array(schema), "after": after.array(schema), "error": pa.array(errors, pa.string())}
+        return pa.RecordBatch.from_arrays([made[n] if made[n].type == schema.field(n).type else made[n].cast(schema.field(n).type) for n in schema.names], schema=schema)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("log_file", "start_pos", "table_id", "schema", "table", "op", "columns")
         for batch in batches:
-            out = []
-            fields = [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in (*names, "type", "payload")]
-            for *values, kind, payload in zip(*fields):
-                row = dict(zip(names, values))
+            out = where, index, before, after, errors = [], [], _Images(), _Images(), []
+            fields = [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in ("table_id", "types", "metas", "type", "payload")]
+            for k, (table_id, types, metas, kind, payload) in enumerate(zip(*fields)):
                 try:
-                    if row["columns"] is None:
-                        raise decoder.DecodeError(f"skipped row event: missing metadata for table_id={row['table_id']}")
-                    images = decoder.rows_event(kind, payload, [c["type"] & 0xFF for c in row["columns"]], [c["meta"] for c in row["columns"]])
-                    for k, (before, after) in enumerate(images):
-                        out.append(row | {"row_idx": k, "before": before, "after": after, "error": None})
-                        if len(out) >= BATCH:
-                            yield pa.RecordBatch.from_pylist(out, schema=schema)
-                            out = []
+                    if types is None:
+                        raise decoder.DecodeError(f"skipped row event: missing metadata for table_id={table_id}")
+                    images, error = decoder.rows_event(kind, payload, types, metas), None
                 except decoder.DecodeError as e:
-                    out.append(row | empty | {"row_idx": 0, "error": str(e)})
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
+                    images, error = [(None, None)], str(e)
+                for n, (old, new) in enumerate(images):
+                    where.append(k)
+                    index.append(n)
+                    before.add(old)
+                    after.add(new)
+                    errors.append(error)
+                    if len(where) >= BATCH:
+                        yield batch_of(batch, *out)
+                        out = where, index, before, after, errors = [], [], _Images(), _Images(), []
+            yield batch_of(batch, *out)
 
     rows = bound_rows(events, catalog).select(
         "log_file", "start_pos", "table_id", F.col("map.schema").alias("schema"), F.col("map.table").alias("table"),
         operation(F.col("type")).alias("op"), F.col("map.columns").alias("columns"), "type", "payload",
+        F.transform("map.columns", lambda c: c["type"].cast("int").bitwiseAND(F.lit(255))).alias("types"), F.col("map.columns.meta").alias("metas"),
     )
     return rows.mapInArrow(work, CHANGES)
 
 
+class _Images:
+    """Row images, kept by field, as an Arrow array is."""
+
+    def __init__(self):
+        self.ends: list[int | None] = [0]
+        self.size = 0
+        self.fields: tuple[list, ...] = ([], [], [], [], [])
+
+    def add(self, cells: list[dict] | None) -> None:
+        if cells is None:
+            self.ends[-1] = None  # a null list is marked at its start
+            self.ends.append(self.size)
+            return
+        for values, name in zip(self.fields, ("is_null", "present", "type", "raw", "as_string")):
+            values.extend(c[name] for c in cells)
+        self.size += len(cells)
+        self.ends.append(self.size)
+
+    def array(self, schema: pa.Schema) -> pa.Array:
+        kind = schema.field("before").type.value_type
+        flat = pa.StructArray.from_arrays([pa.array(v, f.type) for v, f in zip(self.fields, kind)], fields=list(kind))
+        return pa.ListArray.from_arrays(pa.array(self.ends, pa.int32()), flat).cast(schema.field("before").type)
+
+
 def typed(changed: DataFrame, schema: str, table: str, columns: list[tuple[str, str]], image: str = "after") -> DataFrame:
     """One table's images as typed columns: columns are (name, Spark type) in order; absent and null are null."""
     own = changed.where((F.col("schema") == schema) & (F.col("table") == table) & F.col(image).isNotNull())

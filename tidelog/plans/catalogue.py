@@ -386,7 +386,8 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             columns = list(zip(*out)) or [[], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.binary()))], names=["log_file", "start_pos", "body"])
 
-    return o.mapInArrow(work, RAW)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return o.repartition(parts, "o_orderkey").mapInArrow(work, RAW)  # one small file is one task otherwise
 
 
 @query("SELECT t.type, count(*) AS n FROM orders, (VALUES (33), (2), (19), (30), (16)) t(type) GROUP BY t.type")
