@@ -14,8 +14,13 @@ from ..operators.transactions import mark
 def statements(raw: DataFrame, catalog: DataFrame | None = None, include_gtid: bool = True, include_coords: bool = True, dedupe_begin: bool = True) -> DataFrame:
     """(seq, row_idx, log_file, start_pos, sql) of a raw log; order by (seq, row_idx) to replay."""
     events = read_events(raw)
+    return of_events(events, mark(events), catalog, include_gtid, include_coords, dedupe_begin)
+
+
+def of_events(events: DataFrame, marked: DataFrame, catalog: DataFrame | None = None, include_gtid: bool = True, include_coords: bool = True, dedupe_begin: bool = True) -> DataFrame:
+    """``statements`` of events that are read and marked already; a stream keeps one table as both."""
     rows = row_statements(changes(events, catalog))
-    return assemble(event_statements(mark(events), include_gtid, dedupe_begin), rows, include_coords)
+    return assemble(event_statements(marked, include_gtid, dedupe_begin), rows, include_coords)
 
 
 def ordered(statements_: DataFrame) -> DataFrame:

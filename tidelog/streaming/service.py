@@ -23,32 +23,30 @@ from ..functions.text import ddl_targets, escape_ansi  # noqa: F401  escape_ansi
 from ..logs import logger, set_up
 from ..operators.gtid import explode_set, serialise
 from ..operators.header import events as read_events
-from ..operators.header import sequence_key, with_header
+from ..operators.header import sequence_key
 from ..operators.rows import previous_gtids
 from ..operators.transactions import durable_points, executed, mark
-from ..plans.changes import statements
+from ..plans.changes import of_events
 from ..sinks.sql import Checkpoint, SqlSink, load_checkpoint, store_checkpoint
 from ..sources.binlog import register
-from ..types import FORMAT_DESCRIPTION, HEADER, QUERY, RAW, TABLE_MAP
+from ..types import FORMAT_DESCRIPTION, QUERY, RAW, TABLE_MAP
 from .ha import Lease
 
 
-def carried(raw: DataFrame) -> DataFrame:
-    """The raw events that the next batch needs; a few for each file in use, table and transaction."""
-    heads = with_header(raw)
-    latest_file = F.max(F.struct("seq", "log_file"))
-    file = heads.agg(latest_file.alias("m")).select(F.col("m.log_file").alias("_file"))
-    formats = heads.where(F.col("type") == FORMAT_DESCRIPTION).join(F.broadcast(file), F.col("log_file") == F.col("_file")).drop("_file")  # one row
-    last = Window.partitionBy(le_uint(F.col("body"), HEADER, 6)).orderBy(F.desc("seq"))
-    maps = heads.where(F.col("type") == TABLE_MAP).withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
-    marked = mark(read_events(raw))
-    ddl = marked.where((F.col("type") == QUERY) & (F.size(ddl_targets(F.col("query.query"), F.col("query.schema"))) > 0)).select("log_file", "start_pos")
-    closed = marked.where("mark = 'C'").agg(F.coalesce(F.max("seq"), F.lit(-1)).alias("_closed"))
-    open_ = marked.where("mark in ('G', 'B')").join(F.broadcast(closed), F.col("seq") > F.col("_closed")).select("log_file", "start_pos")  # one row
-    places = ddl.unionByName(open_).distinct()
-    others = heads.join(places, ["log_file", "start_pos"], "left_semi")
-    both = formats.unionByName(maps).unionByName(others)
-    return both.select("log_file", "start_pos", "body").distinct()
+def carried(raw: DataFrame, marked: DataFrame) -> DataFrame:
+    """The raw events that the next batch needs; a few for each file in use, table and transaction.
+
+    marked: the same events, read and marked.
+    """
+    now = marked.agg(F.max(F.struct("seq", "log_file")).alias("m"), F.coalesce(F.max(F.when(F.col("mark") == "C", F.col("seq"))), F.lit(-1)).alias("closed")).first()
+    file, closed = now["m"]["log_file"] if now["m"] else None, now["closed"]
+    last = Window.partitionBy(le_uint(F.col("payload"), 0, 6)).orderBy(F.desc("seq"))
+    maps = marked.where(F.col("type") == TABLE_MAP).withColumn("_n", F.row_number().over(last)).where("_n = 1")
+    ddl = (F.col("type") == QUERY) & (F.size(ddl_targets(F.col("query.query"), F.col("query.schema"))) > 0)
+    open_ = F.col("mark").isin("G", "B") & (F.col("seq") > closed)
+    others = marked.where((F.col("type") == FORMAT_DESCRIPTION) & (F.col("log_file") == file) | ddl | open_)
+    places = maps.select("log_file", "start_pos").unionByName(others.select("log_file", "start_pos"))
+    return raw.join(places, ["log_file", "start_pos"], "left_semi").select("log_file", "start_pos", "body").distinct()
 
 
 class Pipeline:
@@ -64,6 +62,7 @@ class Pipeline:
         spark = batch.sparkSession
         c = self.config
         fresh = batch.select(*[f.split()[0] for f in RAW.split(", ")]).persist()
+        held = [fresh]
         try:
             first = fresh.agg(F.min(sequence_key(F.col("log_file"), F.col("start_pos"))).alias("s")).first()["s"]
             if first is None:
@@ -71,27 +70,30 @@ class Pipeline:
             before = sorted((int(n.rpartition("-")[2]) for n in os.listdir(self.state_dir) if n.startswith("carried-")), reverse=True) if os.path.isdir(self.state_dir) else []
             known = next((k for k in before if k < batch_id), None)
             raw = fresh if known is None else fresh.unionByName(spark.read.parquet(self._state(known)))
-            out = statements(raw, self.catalog, c.include_gtid, c.include_coords, c.dedupe_begin).where(F.col("seq") >= first)
+            # read and marked once for the statements, the durable point and what is carried on; a batch is bounded
+            marked = mark(read_events(raw)).persist()
+            held.append(marked)
+            out = of_events(marked, marked, self.catalog, c.include_gtid, c.include_coords, c.dedupe_begin).where(F.col("seq") >= first).persist()
+            held.append(out)
             n = self.sink.write(out)
             logger("output").debug("batch %d: %d statements", batch_id, n)
-            self._store(raw, first, batch_id)
-            carried(raw).coalesce(1).write.mode("overwrite").parquet(self._state(batch_id))
+            self._store(marked, first, batch_id)
+            carried(raw, marked).coalesce(1).write.mode("overwrite").parquet(self._state(batch_id))
             for k in before:
                 if k < batch_id - 1:  # the last one stays, should this batch be repeated
                     shutil.rmtree(self._state(k), ignore_errors=True)
         finally:
-            fresh.unpersist()
+            for table in reversed(held):
+                table.unpersist()
 
-    def _store(self, raw: DataFrame, first: int, batch_id: int) -> None:
+    def _store(self, marked: DataFrame, first: int, batch_id: int) -> None:
         """The end of the last commit of this batch and the executed set."""
-        spark, point = raw.sparkSession, load_checkpoint(self.config.checkpoint_file)
-        events = read_events(raw)
-        marked = mark(events)
+        spark, point = marked.sparkSession, load_checkpoint(self.config.checkpoint_file)
         ends = durable_points(marked.where(F.col("seq") >= first)).orderBy(F.desc("log_file")).limit(1).collect()
         if not ends:
             return
         text = (point.gtid_set if point else None) or self.gtid_set or ""
-        sets = [explode_set(spark.createDataFrame([(text,)], "t string"), "t"), previous_gtids(events)]
+        sets = [explode_set(spark.createDataFrame([(text,)], "t string"), "t"), previous_gtids(marked)]
         done = serialise(executed(marked, *sets)).first()["gtid_set"]
         store_checkpoint(self.config.checkpoint_file, Checkpoint(ends[0]["log_file"], ends[0]["position"], done or None))
         logger("checkpoint").debug("batch %d: %s", batch_id, ends[0])
