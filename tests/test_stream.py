@@ -101,7 +101,14 @@ def test_run_needs_a_start_and_stops(spark, logs, tmp_path):
     config.start_file = "mysql-bin.000001"
     config.ha_lease_file = str(tmp_path / "lease")
     got, stop = [], threading.Event()
-    threading.Thread(target=lambda: (time.sleep(8), stop.set())).start()
+
+    def stop_after_the_first():
+        ends = time.time() + 240
+        while not got and time.time() < ends:
+            time.sleep(0.3)
+        stop.set()
+
+    threading.Thread(target=stop_after_the_first).start()
     assert run(spark, config, got.append, stop) == 0 and got
 
 
