@@ -9,6 +9,10 @@ each link is verified by its bit count all the same.
 
 Links go from the smallest member to the others, which keeps connectivity without all pairs, and
 components are found by minimum-label propagation with pointer jumping over durable tables.
+
+The corpus stage (``near_copies``) links texts whose sets of 5-word shingles have Jaccard
+similarity 0.8 or more, which lie up to some ten bits apart and so outside any ball. Candidates
+share all minima of a band; each candidate pair is verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -20,13 +24,20 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import durable, in_small_batches
 
 BITS, RADIUS, SHINGLE, SEED = 64, 2, 3, 42
 _CHUNK = 1 << 15
+#: Near copies: words of a shingle, and the least Jaccard similarity as a fraction. Sixteen bands of
+#: four minima miss a pair at 0.8 with probability (1 - 0.8 ** 4) ** 16 = 0.0002.
+WORDS, LEAST_SHARED, BANDS, MINIMA = 5, (4, 5), 16, 4
+#: A member of a band's bucket is paired with the bucket's first and with so many after itself; each
+#: band has an order of its own, so a large bucket costs its size and not its square.
+AFTER = 2
+_ODD, _MIX = (np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * MINIMA), dtype=np.uint64) << np.uint64(1)) + np.uint64(1)
 
 
 def simhash(text: bytes, shingle: int = SHINGLE) -> int:
@@ -162,6 +173,90 @@ def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
     Repeated rows with the same id and text count as copies, so one of them stays.
     """
-    chosen = near_duplicates(docs, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    return _firsts(docs, near_duplicates(docs, radius))
+
+
+def _firsts(docs: DataFrame, found: DataFrame) -> DataFrame:
+    chosen = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     kept = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi")
     return kept.withColumn("_same", F.xxhash64("text")).dropDuplicates(["doc_id", "_same"]).drop("_same")
+
+
+def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
+    """Sorted distinct hashes of the runs of ``words`` words; a shorter text is one run, none without words."""
+    found = text.lower().split()
+    if not found:
+        return np.empty(0, dtype="<u8")
+    joined = b" ".join(found)
+    ends = (np.cumsum(np.fromiter(map(len, found), dtype=np.int64, count=len(found)) + 1) - 1).tolist()
+    starts = [0, *(e + 1 for e in ends[:-1])]
+    spans = zip(starts, ends[words - 1 :]) if len(found) > words else [(0, len(joined))]
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(joined[a:b], SEED) for a, b in spans], dtype="<u8"))
+
+
+def bands(hashes: np.ndarray) -> list[int]:
+    """One signed number a band, equal where all its minima (and the band) are; none for no hashes."""
+    if not len(hashes):
+        return []
+    least = np.full(BANDS * MINIMA, np.iinfo(np.uint64).max, dtype=np.uint64)
+    for at in range(0, len(hashes), 4096):
+        np.minimum(least, ((hashes[at : at + 4096, None] ^ _MIX) * _ODD).min(axis=0), out=least)
+    return [xxhash.xxh64_intdigest(row.tobytes(), k) - (1 << 63) for k, row in enumerate(least.reshape(BANDS, MINIMA))]
+
+
+def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [shingle_set(t or b"") for t in batch.column(1).to_pylist()]
+        keys = [xxhash.xxh64_intdigest(h.tobytes(), SEED) - (1 << 63) for h in sets]
+        found = [pa.array(keys, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(map(bands, sets), pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *found], names=["doc_id", "key", "size", "bands"])
+
+
+def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [shingle_set(t or b"") for t in batch.column(1).to_pylist()]
+        keys = [xxhash.xxh64_intdigest(h.tobytes(), SEED) - (1 << 63) for h in sets]
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([h.view("<i8") for h in sets], pa.list_(pa.int64()))], names=["key", "hashes"])
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, key, component_id): one row per row of ``docs``; ``key`` stands for the set of shingles.
+
+    Texts link where their sets of 5-word shingles have Jaccard similarity 0.8 or more, verified on
+    the whole sets. ``component_id`` is the smallest doc_id reachable. Texts of one set always share
+    a component, as do texts without words.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    marked = durable(in_small_batches(rows).mapInArrow(_set_batches, "doc_id long, key long, size long, bands array<long>"))
+    nodes = marked.groupBy("key").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.min("doc_id").alias("node"))
+    member = F.struct("key", "size", "node")
+    buckets = Window.partitionBy("band").orderBy(F.xxhash64("key", "band"), "key")
+    others = F.array(F.first(member).over(buckets), *[F.lag(member, k).over(buckets) for k in range(1, AFTER + 1)])
+    some, whole = LEAST_SHARED
+    pairs = durable(
+        nodes.select("key", "size", "node", F.explode("bands").alias("band"))
+        .select(member.alias("x"), others.alias("others"))
+        .select("x", F.explode(F.array_distinct("others")).alias("y"))
+        .where("y is not null and x.key != y.key")
+        .where(whole * F.least("x.size", "y.size") >= some * F.greatest("x.size", "y.size"))  # else never so similar
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        .distinct()
+    )
+    ends = pairs.select("a.*").union(pairs.select("b.*")).select("node").distinct()
+    texts = rows.join(ends, rows["doc_id"].eqNullSafe(ends["node"]), "left_semi")
+    sets = durable(in_small_batches(texts).mapInArrow(_hash_batches, "key long, hashes array<long>").dropDuplicates(["key"]))
+    side = lambda name: sets.select(F.col("key").alias(name), F.col("hashes").alias(f"{name}_hashes"))
+    both = pairs.select(F.col("a.key").alias("a"), F.col("b.key").alias("b")).join(side("a"), "a").join(side("b"), "b")
+    shared = F.size(F.array_intersect("a_hashes", "b_hashes"))
+    links = both.where(shared * (some + whole) >= some * (F.size("a_hashes") + F.size("b_hashes"))).select("a", "b")
+    reached = components(links).select(F.col("node").alias("key"), "component")
+    classes = nodes.select("key", "node").join(reached, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    least = classes.groupBy("component").agg(F.min("node").alias("component_id"))
+    names = classes.join(least, "component").select("key", "component_id")
+    return marked.select("doc_id", "key").join(names, "key").select("doc_id", "key", "component_id")
+
+
+def one_of_near_copies(docs: DataFrame) -> DataFrame:
+    """``docs`` without near copies: the document with the smallest doc_id of each group stays, as in ``one_of_each``."""
+    return _firsts(docs, near_copies(docs))
