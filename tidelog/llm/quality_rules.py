@@ -3,7 +3,8 @@
 Two public vocabularies measure a text: characters per token (byte-level BPE, and pieces), share
 of byte-fallback tokens (pieces), and token entropy against its maximum. What is usual differs by
 language and script, so the bands are the far fences of each group's own quartiles over all
-documents; a document outside any band, or with too much byte fallback, is rejected.
+documents; a document outside any band is rejected. Byte fallback has an upper fence only: a
+vocabulary may cover a language poorly, and much fallback is then usual there.
 
 Words are encoded one by one, each once for a cache: no vocabulary joins letters across white space.
 """
@@ -21,10 +22,12 @@ from pyspark.sql import functions as F
 
 from .common import durable, in_small_batches, once_per_process, text_of
 
-MIN_WORDS, MAX_REPEAT, MAX_FALLBACK = 50, 50, 0.2
+MIN_WORDS, MAX_REPEAT = 50, 50
 #: Fences: so many quartile distances below and above the quartiles, and at least this share of the
 #: median. Rare forms cost tokens, so junk lies low; the upper fence is for degenerate text only.
 BELOW, ABOVE, SLACK = 2.5, 6.0, 0.03
+#: The least distance of the fallback fence from its quartile, in share: most quartiles are 0.
+FALLBACK_SLACK = 0.1
 #: Groups with fewer documents than this are judged by the bands of all.
 LEAST = 30
 #: Bands of up to so many groups (60 bytes each) are sent to every executor; more are shuffled.
@@ -148,6 +151,8 @@ def _fences() -> list:
         q = F.percentile_approx(F.when(~F.col("base_failed"), F.col(m)), [0.25, 0.5, 0.75], 2000)
         wide = lambda n: F.greatest(n * (q[2] - q[0]), SLACK * q[1])
         out += [(q[0] - wide(BELOW)).alias(f"{m}_low"), (q[2] + wide(ABOVE)).alias(f"{m}_high")]
+    q = F.percentile_approx(F.when(~F.col("base_failed"), F.col("fallback")), [0.25, 0.75], 2000)
+    out.append((q[1] + F.greatest(ABOVE * (q[1] - q[0]), F.lit(FALLBACK_SLACK))).alias("fallback_high"))
     return [*out, F.sum(F.when(~F.col("base_failed"), 1).otherwise(0)).alias("judged")]
 
 
@@ -159,12 +164,12 @@ def judge(docs: DataFrame, pieces: str, ranks: str) -> DataFrame:
     """
     found = durable(measures(docs, pieces, ranks).withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))))
     own, every = found.groupBy("group").agg(*_fences()), found.agg(*_fences())
-    names = [f"{m}_{side}" for m in MEASURES for side in ("low", "high")]
+    names = [*[f"{m}_{side}" for m in MEASURES for side in ("low", "high")], "fallback_high"]
     bands = own.crossJoin(F.broadcast(every.select([F.col(n).alias(f"all_{n}") for n in names])))  # one row of bands of all
     bands = durable(bands.select("group", *[F.when(F.col("judged") >= LEAST, F.col(n)).otherwise(F.col(f"all_{n}")).alias(n) for n in names]))
     bands = F.broadcast(bands) if bands.count() <= FEW_GROUPS else bands
     reason = F.when(F.col("base_failed"), F.lit("base"))
     for m in MEASURES:
         reason = reason.when(F.col(m) < F.col(f"{m}_low"), F.lit(f"{m} low")).when(F.col(m) > F.col(f"{m}_high"), F.lit(f"{m} high"))
-    reason = reason.when(F.col("fallback") > MAX_FALLBACK, F.lit("byte fallback"))
+    reason = reason.when(F.col("fallback") > F.col("fallback_high"), F.lit("byte fallback"))
     return found.join(bands, "group").withColumn("reason", reason).withColumn("kept", F.col("reason").isNull()).drop(*names)
