@@ -2,9 +2,8 @@
 
 Strong spans (assigned secrets, cloud access ids, long hex runs) are reported as they stand.
 Weak candidates (an account name, a short password, an endpoint) mean little alone: they are
-exploded into parts, parts are interval-joined by a range frame of ``REACH`` code points within
-their scope (text between blank lines), and one is reported only where its complements occur
-there. Documents without weak candidates never leave the map side.
+exploded into parts, the parts of a scope (text between blank lines) are counted by kind, and one
+is reported only where its complements occur in its scope, however far. Documents without weak candidates never leave the map side.
 """
 
 from __future__ import annotations
@@ -29,7 +28,6 @@ ENDPOINT = (
 BREAK = r"\n[\x20\t]*+\n"
 BASE, ADDED = ("assign", "access", "hex"), ("identifier", "weak", "endpoint")
 ORDER = {kind: k for k, kind in enumerate((*BASE, *ADDED))}
-REACH = 400
 MARK = "[secret]"
 _SPAN = "array<struct<start:int,rank:int,end:int,kind:string,sure:boolean>>"
 
@@ -82,8 +80,8 @@ def _linked(hard: DataFrame) -> DataFrame:
     parts = once.select("_k1", "_k2", F.explode(F.concat(strong, free, _found(text, BREAK, "break"))).alias("p")).select("_k1", "_k2", "p.*")
     doc = Window.partitionBy("_k1", "_k2").orderBy("start", "rank", "end")
     scoped = parts.withColumn("scope", F.sum(F.when(F.col("kind") == "break", 1).otherwise(0)).over(doc)).where("kind != 'break'")
-    near = Window.partitionBy("_k1", "_k2", "scope").orderBy("start").rangeBetween(-REACH, REACH)
-    has = lambda *kinds: F.sum(F.when(F.col("kind").isin(*kinds), 1).otherwise(0)).over(near) > 0
+    whole = Window.partitionBy("_k1", "_k2", "scope")
+    has = lambda *kinds: F.sum(F.when(F.col("kind").isin(*kinds), 1).otherwise(0)).over(whole) > 0
     secret, name, place = has("assign", "hex", "weak"), has("access", "identifier"), has("endpoint")
     reported = (
         F.when(F.col("kind").isin(*BASE), True)
