@@ -28,3 +28,8 @@ def test_a_poorly_covered_language_is_kept_and_english_fallback_is_not(spark):
     assert 0.1 < odd.fallback < 0.2 and not odd.kept
     amharic = [r for r in rows if r.group == "am"]
     assert min(r.fallback for r in amharic) > 0.5 and sum(r.kept for r in amharic) >= 39
+
+
+def test_a_group_below_the_least_size_is_not_rejected_for_being_rare(spark):
+    rows = judged(spark, ("en", texts(ENGLISH, 80, 1)), ("am", texts(AMHARIC, qr.LEAST - 1, 2)))
+    assert all(r.kept for r in rows if r.group == "am")

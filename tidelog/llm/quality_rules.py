@@ -28,7 +28,7 @@ MIN_WORDS, MAX_REPEAT = 50, 50
 BELOW, ABOVE, SLACK = 2.5, 6.0, 0.03
 #: The least distance of the fallback fence from its quartile, in share: most quartiles are 0.
 FALLBACK_SLACK = 0.1
-#: Groups with fewer documents than this are judged by the bands of all.
+#: Groups with fewer documents than this are judged by the wider of their own bands and those of all.
 LEAST = 30
 #: Bands of up to so many groups (60 bytes each) are sent to every executor; more are shuffled.
 FEW_GROUPS = 10_000
@@ -166,7 +166,8 @@ def judge(docs: DataFrame, pieces: str, ranks: str) -> DataFrame:
     own, every = found.groupBy("group").agg(*_fences()), found.agg(*_fences())
     names = [*[f"{m}_{side}" for m in MEASURES for side in ("low", "high")], "fallback_high"]
     bands = own.crossJoin(F.broadcast(every.select([F.col(n).alias(f"all_{n}") for n in names])))  # one row of bands of all
-    bands = durable(bands.select("group", *[F.when(F.col("judged") >= LEAST, F.col(n)).otherwise(F.col(f"all_{n}")).alias(n) for n in names]))
+    wider = lambda n: (F.least if n.endswith("_low") else F.greatest)(n, f"all_{n}")
+    bands = durable(bands.select("group", *[F.when(F.col("judged") >= LEAST, F.col(n)).otherwise(wider(n)).alias(n) for n in names]))
     bands = F.broadcast(bands) if bands.count() <= FEW_GROUPS else bands
     reason = F.when(F.col("base_failed"), F.lit("base"))
     for m in MEASURES:
