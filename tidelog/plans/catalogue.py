@@ -95,6 +95,13 @@ def gtid_set_parse(spark, d):  # G3, F8
     return G.explode_set(e, "t").where("start > 0")
 
 
+@query("""WITH parts AS (SELECT 's' || (user_id % 3)::VARCHAR AS sid, event_id % 50 AS a FROM events)
+    SELECT sid, a AS start, a + 3 AS "end" FROM parts WHERE a > 0 UNION ALL SELECT sid, a + 9, a + 9 FROM parts""")
+def gtid_set_parse_all(spark, d):  # G3, F8 on every event; a zero start is met once in 50
+    e = table(spark, d, "events").selectExpr("concat('s', user_id % 3, ':', event_id % 50, '-', event_id % 50 + 3, ':', event_id % 50 + 9, ',nocolon') AS t")
+    return G.explode_set(e, "t").where("start > 0")
+
+
 @query(LOG + """, marks AS (SELECT *, lag(kind) OVER (ORDER BY seq) AS k, lag(gtid) OVER (ORDER BY seq) AS g FROM log WHERE kind IN ('G', 'C'))
     SELECT seq, log_file, start_pos, g AS gtid FROM marks WHERE kind = 'C' AND k = 'G'""")
 def gtid_tracker_committed(spark, d):  # T1, T2
