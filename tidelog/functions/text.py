@@ -60,15 +60,16 @@ def split_keep(s: Column, mark: str) -> Column:
     return F.split(s, "\\" + mark, -1)
 
 
-_NAME = r"(?:`(?:[^`]|``)+`|[^\s`.(;,]+)"
+# Possessive where a statement may repeat: the engine then loops and does not recurse, however long the statement.
+_NAME = r"(?:`(?:[^`]|``)++`|[^\s`.(;,]+)"
 _TARGET = rf"({_NAME}(?:\s*\.\s*{_NAME})?)"
-_HEAD = r"(?is)^\s*(?:/\*.*?\*/\s*)*"
+_HEAD = r"(?is)^\s*(?:/\*.*?\*/\s*)*+"
 #: Statements that change a table: kind -> pattern whose first group is the target, or a list of them.
 DDL = {
     "table": _HEAD + r"(?:create\s+(?:or\s+replace\s+)?(?:temporary\s+)?table\s+(?:if\s+not\s+exists\s+)?|alter\s+(?:ignore\s+)?table\s+|truncate\s+(?:table\s+)?)" + _TARGET,
     "view": _HEAD + r"(?:create|alter)\s+(?:or\s+replace\s+)?(?:algorithm\s*=\s*\w+\s+)?(?:definer\s*=\s*\S+\s+)?(?:sql\s+security\s+\w+\s+)?view\s+(?:if\s+not\s+exists\s+)?" + _TARGET,
     "index": _HEAD + r"(?:create\s+(?:unique\s+|fulltext\s+|spatial\s+)?index|drop\s+index)\s+(?:if\s+(?:not\s+)?exists\s+)?\S+\s+(?:using\s+\w+\s+)?on\s+" + _TARGET,
-    "drop": _HEAD + r"drop\s+(?:temporary\s+)?(?:table|view)\s+(?:if\s+exists\s+)?(" + _TARGET[1:-1] + r"(?:\s*,\s*" + _TARGET[1:-1] + ")*)",
+    "drop": _HEAD + r"drop\s+(?:temporary\s+)?(?:table|view)\s+(?:if\s+exists\s+)?(" + _TARGET[1:-1] + r"(?:\s*,\s*" + _TARGET[1:-1] + ")*+)",
     "rename": _HEAD + r"rename\s+table\s+(.+)$",
 }
 
@@ -78,14 +79,13 @@ def ddl_targets(query: Column, default_schema: Column) -> Column:
 
     Knows optional clauses, ``ON table`` of index statements, and lists of DROP and RENAME.
     """
-    head = F.substring(query, 1, 4000)
     single = F.lit(None).cast("string")
     for kind in ("index", "view", "table"):
-        found = F.regexp_extract(head, DDL[kind], 1)
+        found = F.regexp_extract(query, DDL[kind], 1)
         single = F.when(found != "", found).otherwise(single)
-    listed = F.split(F.regexp_extract(head, DDL["drop"], 1), r"\s*,\s*")
-    pairs = F.split(F.regexp_replace(F.regexp_extract(head, DDL["rename"], 1), r";\s*$", ""), r"(?i)\s*,\s*|\s+to\s+")
-    names = F.when(head.rlike(DDL["drop"]), listed).when(head.rlike(DDL["rename"]), pairs).when(single.isNotNull(), F.array(single)).otherwise(F.array().cast("array<string>"))
+    listed = F.split(F.regexp_extract(query, DDL["drop"], 1), r"\s*,\s*")
+    pairs = F.split(F.regexp_replace(F.regexp_extract(query, DDL["rename"], 1), r";\s*$", ""), r"(?i)\s*,\s*|\s+to\s+")
+    names = F.when(query.rlike(DDL["drop"]), listed).when(query.rlike(DDL["rename"]), pairs).when(single.isNotNull(), F.array(single)).otherwise(F.array().cast("array<string>"))
 
     def target(name):
         parts = F.split(F.trim(name), r"\s*\.\s*")
