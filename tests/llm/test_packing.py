@@ -11,10 +11,11 @@ from tokenizers import Tokenizer
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+SLOW = Tokenizer.from_file(VOCABULARY)
+
+
 def plain_ids(text):
-    t = Tokenizer.from_file(VOCABULARY)
-    t.encode_special_tokens = True
-    return [*t.encode(text or "", add_special_tokens=False).ids, 0]
+    return [*SLOW.encode(text or "", add_special_tokens=False).ids, 0]
 
 
 def check(docs, rows):
@@ -57,7 +58,7 @@ def test_sequences_hold_the_ids(odd_docs):
 
 def test_both_encoders_agree():
     encode, slow = packing.encoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
-    slow.encode_special_tokens = True
+    assert encode("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
     for text in ["", " a  b\n\n c\t\td  ", "it's we'LL 12 345,678!!! <|endoftext|> x", "ça ne l'été — “oui” ﬁ 数 \r\n\x0b 　x", "a" * 5000, "!?" * 3000, "\n " * 500]:
         assert encode(text).tolist() == slow.encode(text, add_special_tokens=False).ids
 
@@ -83,3 +84,23 @@ def test_hot_lengths_are_ranked_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(packing, "BLOCK", 7)
     docs = spark.createDataFrame([(i, "same text" if i % 3 else f"text {i}") for i in range(100)], "doc_id long, text string")
     check(docs, packing.pack(docs, VOCABULARY).collect())
+
+
+def test_every_length_hot(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK", 1)
+    docs = spark.range(4096).selectExpr("id as doc_id", "repeat(' a', cast(id % 2048 as int)) as text", "id as length", "'b' as block", "1 as rank", "2 as salt", "'k' as before")
+    found = packing.pack(docs, VOCABULARY).collect()
+    assert {r.length for r in found} == set(range(1, 2049))
+    check(docs, found)
+
+
+def test_equal_rows_share_the_blocks_of_a_length(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK", 5)
+    docs = spark.createDataFrame([(1, "same")] * 60 + [(None, None)] * 30, "doc_id long, text string")
+    check(docs, packing.pack(docs, VOCABULARY).collect())
+
+
+def test_ten_million_characters(spark):
+    docs = spark.range(1).selectExpr("id as doc_id", "repeat('word ', 2000000) as text")
+    used, least = check(docs, packing.pack(docs, VOCABULARY).collect())
+    assert used == least

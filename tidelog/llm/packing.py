@@ -29,8 +29,8 @@ from .common import durable, in_small_batches, once_per_process, text_of
 CAPACITY, END = 2048, 0
 #: Ranks are counted in blocks of about so many pieces.
 BLOCK = 2_000
-#: Placement ranges up to this number (32 bytes each) are sent to every executor; more are shuffled.
-FEW_RANGES = 200_000
+#: Bits of a rank in a range's key; lengths are above them.
+_RANK_BITS = 48
 #: Characters on which the fast encoder has been tested equal to the plain one.
 PLAIN = r"[\n\t\x20-\x7e¡-ɏ‐-‧]*"
 
@@ -43,9 +43,9 @@ def encoder(vocabulary: str):
 def read_encoder(vocabulary: str):
     """text -> numpy array of ids by the tokenizers file ``vocabulary``, no special tokens added.
 
-    Names of special tokens in a text are ordinary text. If the same vocabulary lies beside the
-    file as ranks (``.tiktoken``), texts of plain characters are encoded by it, four times as
-    fast, to the same ids.
+    Names of the file's special tokens in a text give those tokens, as the tokenizers library has
+    it. If the same vocabulary lies beside the file as ranks (``.tiktoken``), texts of plain
+    characters without such names are encoded by it, four times as fast, to the same ids.
     """
     import base64
     import os
@@ -54,7 +54,6 @@ def read_encoder(vocabulary: str):
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(vocabulary)
-    slow.encode_special_tokens = True
     ranks_file = vocabulary.removesuffix(".json") + ".tiktoken"
     if not os.path.exists(ranks_file):
         return lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
@@ -65,9 +64,10 @@ def read_encoder(vocabulary: str):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     plain = re.compile(PLAIN)
+    names = [t.content for t in slow.get_added_tokens_decoder().values()]
 
     def encode(text: str) -> np.ndarray:
-        if plain.fullmatch(text):
+        if plain.fullmatch(text) and not any(name in text for name in names):
             return np.array(fast.encode_ordinary(text), dtype="<u4")
         return np.array(slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
@@ -168,44 +168,51 @@ def plan_rounds(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[
     return places
 
 
+def _places(places: list[tuple[int, int, int, int, int]]) -> tuple[np.ndarray, ...]:
+    """(key, first rank, sequence, offset) of all ranges by ascending key, which is length and first rank in one number."""
+    length, first, _, sequence, offset = (np.array(c, dtype=np.int64) for c in (zip(*places) if places else [()] * 5))
+    key = length << _RANK_BITS | first
+    order = np.argsort(key)
+    return key[order], first[order], sequence[order], offset[order]
+
+
 def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset): where every piece goes.
 
-    Each row of ``docs`` is a document of its own, also where ids or rows repeat; an empty or null
-    text is the end mark alone; an empty table gives no rows. Sequences are gapless from offset 0.
+    Each row of ``docs`` is a document of its own, also where ids or rows repeat or an id is null;
+    an empty or null text is the end mark alone; a text of any length is cut whole into pieces;
+    pieces of one length are served in the order of a hash, so ties change no count; an empty table
+    gives no rows. Other columns of ``docs`` are ignored, whatever their names. Sequences are
+    gapless from offset 0.
+
+    What goes to every executor is bounded by the capacity, whatever the number of documents: how
+    many blocks each length has, and the ranges of the rounds. A range ends its length or uses up a
+    gap, which only shrinks, so there are at most 2 * capacity ** 2 of them (some thousands in practice).
     """
     spark = docs.sparkSession
-    found = durable(pieces(docs, vocabulary, capacity))
-    counts = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    blocks = {n: -(-c // BLOCK) for n, c in counts.items() if c > BLOCK}
-    block = F.lit(0).cast("long")
-    for length, n in blocks.items():
-        block = F.when(F.col("length") == length, F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(n))).otherwise(block)
-    marked = found.withColumn("_block", block)
-    own = Window.partitionBy("length", "_block").orderBy("doc_id", "piece", "ids_crc32")
-    sizes = marked.groupBy("length", "_block").agg(F.count("*").alias("_n"))
-    before = sizes.select(
-        F.col("length").alias("_l"), F.col("_block").alias("_b"),
-        (F.sum("_n").over(Window.partitionBy("length").orderBy("_block")) - F.col("_n")).alias("_before"),
-    )
-    ranked = (
-        marked.withColumn("_rank", F.row_number().over(own) - 1)
-        .join(before, (F.col("length") == F.col("_l")) & (F.col("_block") == F.col("_b")))
-        .withColumn("_rank", F.col("_rank") + F.col("_before"))
-    )
-    places = plan_rounds(counts, capacity)
-    table = spark.createDataFrame(places, "_length long, first long, end long, sequence long, place long")
-    table = table.groupBy("_length").agg(F.sort_array(F.collect_list(F.struct("first", "end", "sequence", "place"))).alias("_ranges"))
-    table = F.broadcast(table) if len(places) <= FEW_RANGES else table
-    own_range = F.element_at(F.filter("_ranges", lambda r: (r["first"] <= F.col("_rank")) & (F.col("_rank") < r["end"])), 1)
-    return (
-        ranked.join(table, F.col("length") == F.col("_length"))
-        .withColumn("_r", own_range)
-        .select(
-            "doc_id", "piece", "start", "length", "ids_crc32",
-            (F.col("_r.sequence") + F.col("_rank") - F.col("_r.first")).alias("sequence_id"), F.col("_r.place").alias("offset"),
-        )
-    )
+    # the salt is written with the pieces, so that every later step sees the same one, also after a retry
+    found = durable(pieces(docs, vocabulary, capacity).withColumn("salt", F.monotonically_increasing_id()))
+    lengths = found.groupBy("length").agg(F.count("*").alias("n"))
+    counts = {r["length"]: r["n"] for r in lengths.collect()}
+    blocks = lengths.select("length", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    marked = found.join(F.broadcast(blocks), "length").withColumn("block", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "salt"), F.col("blocks"))).drop("blocks")
+    own = Window.partitionBy("length", "block").orderBy("doc_id", "piece", "ids_crc32", "salt")
+    sizes = marked.groupBy("length", "block").agg(F.count("*").alias("n"))
+    before = sizes.select("length", "block", (F.sum("n").over(Window.partitionBy("length").orderBy("block")) - F.col("n")).alias("before"))
+    ranked = marked.withColumn("rank", F.row_number().over(own) - 1).join(before, ["length", "block"])
+    sent = spark.sparkContext.broadcast(_places(plan_rounds(counts, capacity)))
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, first, sequence, offset = sent.value
+        for batch in batches:
+            length, rank = (batch.column(k).to_numpy() for k in (3, 5))
+            at = np.searchsorted(key, length << _RANK_BITS | rank, side="right") - 1
+            made = [pa.array(sequence[at] + rank - first[at]), pa.array(offset[at])]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], *made], names=[f.split()[0] for f in schema.split(", ")])
+
+    rows = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank"))
+    return rows.mapInArrow(look_up, schema)
 
 
 def sequences(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
