@@ -74,3 +74,32 @@ def test_balls_and_chains(spark, radius):
 def test_odd_radius_is_refused(spark):
     with pytest.raises(ValueError):
         nd.ball_links(spark.createDataFrame([(1, 1)], "node long, fp long"), 3)
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+@pytest.fixture
+def by_number(monkeypatch):
+    """Texts that are numbers are their own fingerprints, so that any constellation can be made."""
+    monkeypatch.setattr(nd, "fingerprints", lambda docs, i="doc_id", t="text": docs.selectExpr(f"{i} as doc_id", f"xxhash64({i}, {t}) as k1", f"xxhash64(1, {t}, {i}) as k2", f"cast({t} as long) as fp"))
+
+
+def test_a_row_without_an_id_connects_others(spark, by_number):
+    assert got(nd.near_duplicates(table(spark, [(1, "0"), (None, "3"), (3, "15")]))) == [(False, 1, 0, 1), (False, 3, 15, 1), (True, None, 3, 1)]
+
+
+def test_random_rows_with_null_and_repeated_ids(spark, by_number):
+    import random
+
+    rng = random.Random(5)
+    for _ in range(4):
+        rows = [(rng.choice([None, None, *range(12)]), sum(1 << b for b in rng.sample(range(16), rng.randrange(4)))) for _ in range(40)]
+        assert got(nd.near_duplicates(table(spark, [(i, str(f)) for i, f in rows]))) == brute(rows)
+
+
+def test_rows_are_chosen_and_not_ids(spark, by_number):
+    rows = [(5, "0"), (5, "255"), (4, "254"), (5, "0"), (None, "65535"), (None, "65535"), (None, "4294967295"), (7, "1")]
+    kept = sorted((r.doc_id is None, r.doc_id, r.text, r.k1) for r in nd.one_of_each(table(spark, rows).withColumn("k1", nd.F.lit("own"))).collect())
+    assert kept == [(False, 4, "254", "own"), (False, 5, "0", "own"), (True, None, "4294967295", "own"), (True, None, "65535", "own")]

@@ -24,7 +24,7 @@ def test_each_stage_takes_effect(spark, sf_dir, steps):
     ids = lambda df: sorted(r.doc_id for r in df.select("doc_id").collect())
     model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     assert ids(civil) == ids(toxicity.score(docs, *model).where("predicted = 0"))
-    assert ids(distinct) == ids(near_dedup.near_duplicates(civil).where("doc_id = component_id")) and len(ids(distinct)) < len(ids(civil))
+    assert ids(distinct) == ids(near_dedup.near_copies(civil).where("doc_id = component_id")) and len(ids(distinct)) < len(ids(civil))
     assert ids(clean) == ids(distinct)
     assert secrets.digest(clean).where("n_assign + n_access + n_hex > 0").count() == 0
     assert set(ids(mixed)) <= set(ids(clean)) and ids(packed.where("piece = 0")) == ids(mixed)

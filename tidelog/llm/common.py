@@ -20,14 +20,17 @@ SPACE = r"[\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    ``spark.checkpoint.dir`` names it; only where that is unset (tests, local mode) a
-    temporary folder is made and remembered as the session's checkpoint folder.
+    ``spark.checkpoint.dir`` names it; only where that is unset, and driver and executors are one
+    process (tests, local mode), a temporary folder is made and remembered as the session's
+    checkpoint folder. A cluster without one is an error: executors would not see such a folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         holder = spark.sparkContext._jsc.sc().getCheckpointDir()
         if holder.isDefined():
             path = holder.get()
+        elif not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         else:
             folder = tempfile.TemporaryDirectory(prefix="tidelog-")
             atexit.register(folder.cleanup)
@@ -40,12 +43,38 @@ def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet into the shared folder and read it back.
 
     A lost executor then costs a reread, not a recomputation, and repeated use of the result
-    does not run the expensive part twice.
+    does not run the expensive part twice. The tables of a session lie in one folder, named by
+    the application's id; ``discard`` removes one, and the session's end all that are left.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidelog/{uuid.uuid4().hex}"
+    own = f"{shared_dir(spark)}/tidelog/{spark.sparkContext.applicationId}"
+    path = f"{own}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    once_per_process(("sweep", own), lambda: atexit.register(_remove, spark, own))
+    table = spark.read.schema(df.schema).parquet(path)
+    table.durable_path = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Removes a table that ``durable`` made and nothing reads any more."""
+    _remove(table.sparkSession, table.durable_path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    except Exception:  # noqa: BLE001  the engine may be gone; what is left is only disk
+        return
+
+
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name beginning with ``stem`` that ``df`` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
 
 
 def held_out(doc_id: Column) -> Column:
@@ -64,9 +93,10 @@ def text_of(column: Column) -> Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
     """Labelled rows to learn from: (doc_id, text, label, share), at most about ``per_class`` a class.
 
-    ``share`` is the part of its class that was taken. Held-out rows never enter. Repeated or contradictory labels of an id count once, by their
-    maximum. A class above the bound is thinned by a hash of the id, so the sample is the same
-    in every run and does not depend on the order of rows.
+    ``share`` is the part of its class that was taken. Held-out rows never enter. Repeated or
+    contradictory labels of an id count once, by their maximum, and so does an id that repeats in
+    ``docs``, by its least text. A class above the bound is thinned by a hash of the id, so the
+    sample is the same in every run and does not depend on the order of rows.
     """
     marks = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
@@ -80,8 +110,13 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
         share = F.when(F.col("label") == value, F.lit(min(1.0, per_class / n))).otherwise(share)
     point = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(17)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     marks = marks.where(point < share).withColumn("share", share)
-    # at most about 2 * per_class rows of three numbers: small by its parameter, so no text is shuffled
-    return docs.select("doc_id", text_of(F.col("text")).alias("text")).join(F.broadcast(marks), "doc_id")
+    # at most about 2 * per_class rows of three numbers: small by its parameter, so only the sample's texts are shuffled
+    return (
+        docs.select("doc_id", text_of(F.col("text")).alias("text"))
+        .join(F.broadcast(marks), "doc_id")
+        .groupBy("doc_id")
+        .agg(F.min("text").alias("text"), F.first("label").alias("label"), F.first("share").alias("share"))
+    )
 
 
 def once_per_process(key, make: Callable):
@@ -99,7 +134,8 @@ def in_small_batches(df: DataFrame) -> DataFrame:
     """``df``, whose texts are to go to Python in batches of at most 1,000 rows or 16 MB.
 
     The engine's default of 10,000 rows would hold tens of MB of text several times over (engine,
-    transport, worker) for each task. Sets the two session options only where they are larger.
+    transport, worker) for each task. The two options are those of the session and have effect when
+    a query runs, which is after the operator returned: so they are lowered for good, where larger.
     """
     conf = df.sparkSession.conf
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 1_000), ("spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20)):

@@ -24,10 +24,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, in_small_batches
+from .common import discard, durable, free_name, in_small_batches
 
 BITS, RADIUS, SHINGLE, SEED = 64, 2, 3, 42
 _CHUNK = 1 << 15
@@ -37,6 +37,8 @@ WORDS, LEAST_SHARED, BANDS, MINIMA = 5, (4, 5), 16, 4
 #: A member of a band's bucket is paired with the bucket's first and with so many after itself; each
 #: band has an order of its own, so a large bucket costs its size and not its square.
 AFTER = 2
+#: Members of a bucket that one task orders, about.
+BLOCK = 10_000
 _ODD, _MIX = (np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * MINIMA), dtype=np.uint64) << np.uint64(1)) + np.uint64(1)
 
 
@@ -65,15 +67,25 @@ def simhash(text: bytes, shingle: int = SHINGLE) -> int:
 
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column(1).to_pylist()
-        found = np.array([simhash(t or b"") for t in texts], dtype="<u8").view("<i8")
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "fp"])
+        found = np.array([simhash(t or b"") for t in batch.column(3).to_pylist()], dtype="<u8").view("<i8")
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found)], names=["doc_id", "k1", "k2", "fp"])
+
+
+def _row_key(doc_id: Column, text: Column) -> list[Column]:
+    """128 bits of a row's id and text; never null."""
+    return [F.xxhash64(doc_id, text), F.xxhash64(F.lit(1), text, doc_id)]
+
+
+def _rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, k1, k2, text as bytes): what the Python side reads of each row."""
+    doc_id, text = F.col(id_col).cast("long"), F.col(text_col)
+    k1, k2 = _row_key(doc_id, text)
+    return in_small_batches(docs).select(doc_id.alias("doc_id"), k1.alias("k1"), k2.alias("k2"), text.cast("binary").alias("text"))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): one row per row of ``docs``; null text has fingerprint 0."""
-    rows = in_small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(_fingerprint_batches, "doc_id long, fp long")
+    """(doc_id, k1, k2, fp): one row per row of ``docs``; null text has fingerprint 0. k1 and k2 hash the row's id and text."""
+    return _rows(docs, id_col, text_col).mapInArrow(_fingerprint_batches, "doc_id long, k1 long, k2 long, fp long")
 
 
 def ball_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -125,20 +137,43 @@ def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b): the smallest node reachable.
 
     Each round takes the least label of the neighbours, then that label's own label (pointer
-    jumping), so a chain of n links needs about log n rounds. Labels live in durable tables.
+    jumping), so a chain of n links needs about log n rounds. Labels live in durable tables, each
+    removed when the next is written. Where many nodes have one label or one neighbour, the
+    engine's adaptive joins split that key.
     """
     both = durable(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct())
-    labels = durable(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
+    table = durable(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
     while True:
+        labels = table.select("node", "label")
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
         hooked = labels.join(near, labels["node"] == near["a"]).select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         target = labels.select(F.col("node").alias("via"), F.col("label").alias("onward"))
         after = durable(
             hooked.join(target, F.col("label") == F.col("via"), "left").select("node", "was", F.least("label", F.coalesce("onward", "label")).alias("label"))
         )
-        labels = after.select("node", "label")
+        discard(table)
+        table = after
         if not after.where("was != label").limit(1).count():
-            return labels.withColumnRenamed("label", "component")
+            discard(both)
+            return after.select("node", F.col("label").alias("component"))
+
+
+def _classes(nodes: DataFrame, links: DataFrame, key: str) -> DataFrame:
+    """(key, component, component_id): the class of each key and the least ``node`` (a doc_id) in it, null where it has none.
+
+    Links are between keys and not ids, so a text whose ids are all null still connects others.
+    """
+    reached = components(links).withColumnRenamed("node", key)
+    named = nodes.select(key, "node").join(reached, key, "left").withColumn("component", F.coalesce("component", key))
+    least = named.groupBy("component").agg(F.min("node").alias("component_id"))
+    return named.join(least, "component").select(key, "component", "component_id")
+
+
+def _linked(docs: DataFrame, radius: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, k1, k2, fp, component, component_id) of each row."""
+    marked = durable(fingerprints(docs, id_col, text_col))
+    nodes = durable(marked.groupBy("fp").agg(F.min("doc_id").alias("node")))
+    return marked.join(_classes(nodes, ball_links(nodes, radius).select(F.col("hub").alias("a"), F.col("fp").alias("b")), "fp"), "fp")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -146,21 +181,11 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id
 
     Fingerprints link at ``radius`` or fewer differing bits; ``component_id`` is the smallest
     doc_id reachable. Equal texts always share a component; empty and null texts have
-    fingerprint 0, linked like any other; a null doc_id takes part and never names a group that
-    has another id; an empty table gives no rows.
+    fingerprint 0, linked like any other; texts of any length count whole; a null doc_id takes
+    part, connects others, and never names a group that has another id; repeated ids may be in
+    several groups; an empty table gives no rows; other columns are ignored, whatever their names.
     """
-    marked = durable(fingerprints(docs, id_col, text_col))
-    nodes = durable(marked.groupBy("fp").agg(F.min("doc_id").alias("node")))
-    links = ball_links(nodes, radius)
-    ids = nodes.where("node is not null")
-    pairs = (
-        links.join(ids.select(F.col("fp").alias("hub"), F.col("node").alias("a")), "hub")
-        .join(ids.select("fp", F.col("node").alias("b")), "fp")
-        .select("a", "b")
-    )
-    reached = components(pairs)
-    classes = nodes.join(reached, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return marked.join(classes, "fp", "left").select("doc_id", "fp", "component_id")
+    return _linked(docs, radius, id_col, text_col).select("doc_id", "fp", "component_id")
 
 
 def hex64(fp):
@@ -169,17 +194,33 @@ def hex64(fp):
 
 
 def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``docs`` without near-duplicates: the document with the smallest doc_id of each group stays.
+    """``docs`` without near-duplicates: of each group the row with the smallest doc_id stays.
 
-    Repeated rows with the same id and text count as copies, so one of them stays.
+    Rows are chosen, not ids: of rows with the chosen id, the one with the least hash of its text,
+    and one of those equal in both. A group without any id keeps one row. Null and empty texts are
+    one group. All columns stay as they are; an empty table stays empty.
     """
-    return _firsts(docs, near_duplicates(docs, radius))
+    return _firsts(docs, _linked(docs, radius))
 
 
 def _firsts(docs: DataFrame, found: DataFrame) -> DataFrame:
-    chosen = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi")
-    return kept.withColumn("_same", F.xxhash64("text")).dropDuplicates(["doc_id", "_same"]).drop("_same")
+    """Of the rows of each component (doc_id, k1, k2, component) the first.
+
+    Only keys of rows that go, or that occur several times, meet the texts: where they are few (by
+    the engine's measure of their table) they are sent, and no text is shuffled.
+    """
+    rows = durable(found.groupBy("k1", "k2").agg(F.first("component").alias("component"), F.first("doc_id").alias("doc_id"), F.count("*").alias("n")))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")).alias("r")
+    chosen = rows.groupBy("component").agg(first).select("r.k1", "r.k2", F.lit(True).alias("chosen"))
+    marked = rows.join(chosen, ["k1", "k2"], "left").withColumn("chosen", F.coalesce("chosen", F.lit(False)))
+    apart = durable(marked.where("not chosen or n > 1").select("k1", "k2", "chosen"))
+    a, b = free_name(docs, "k1"), free_name(docs, "k2")
+    k1, k2 = _row_key(F.col("doc_id").cast("long"), F.col("text"))
+    keyed = docs.withColumn(a, k1).withColumn(b, k2)
+    apart = apart.select(F.col("k1").alias(a), F.col("k2").alias(b), "chosen")
+    single = keyed.join(apart.select(a, b), [a, b], "left_anti")
+    several = keyed.join(apart.where("chosen").select(a, b), [a, b], "left_semi").dropDuplicates([a, b])
+    return single.select(docs.columns).unionByName(several.select(docs.columns))
 
 
 def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -207,56 +248,67 @@ def bands(hashes: np.ndarray) -> list[int]:
 
 def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [shingle_set(t or b"") for t in batch.column(1).to_pylist()]
+        sets = [shingle_set(t or b"") for t in batch.column(3).to_pylist()]
         keys = [xxhash.xxh64_intdigest(h.tobytes(), SEED) - (1 << 63) for h in sets]
         found = [pa.array(keys, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(map(bands, sets), pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *found], names=["doc_id", "key", "size", "bands"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *found], names=["doc_id", "k1", "k2", "key", "size", "bands"])
 
 
 def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [shingle_set(t or b"") for t in batch.column(1).to_pylist()]
+        sets = [shingle_set(t or b"") for t in batch.column(0).to_pylist()]
         keys = [xxhash.xxh64_intdigest(h.tobytes(), SEED) - (1 << 63) for h in sets]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([h.view("<i8") for h in sets], pa.list_(pa.int64()))], names=["key", "hashes"])
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, key, component_id): one row per row of ``docs``; ``key`` stands for the set of shingles.
+def _meetings(members: DataFrame, *place: str) -> DataFrame:
+    """(x, y): each member ``x`` (a struct with a key) of a place with the place's first and the ``AFTER`` before it, in an order of the place's own."""
+    along = Window.partitionBy(*place).orderBy(F.xxhash64("x.key", "band"), "x.key")
+    others = F.array(F.first("x").over(along), *[F.lag("x", k).over(along) for k in range(1, AFTER + 1)])
+    return members.select("x", others.alias("others")).select("x", F.explode(F.array_distinct("others")).alias("y")).where("y is not null and x.key != y.key")
 
-    Texts link where their sets of 5-word shingles have Jaccard similarity 0.8 or more, verified on
-    the whole sets. ``component_id`` is the smallest doc_id reachable. Texts of one set always share
-    a component, as do texts without words.
-    """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    marked = durable(in_small_batches(rows).mapInArrow(_set_batches, "doc_id long, key long, size long, bands array<long>"))
-    nodes = marked.groupBy("key").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.min("doc_id").alias("node"))
-    member = F.struct("key", "size", "node")
-    buckets = Window.partitionBy("band").orderBy(F.xxhash64("key", "band"), "key")
-    others = F.array(F.first(member).over(buckets), *[F.lag(member, k).over(buckets) for k in range(1, AFTER + 1)])
+
+def _candidates(members: DataFrame) -> DataFrame:
+    """Pairs of a bucket's members (band, x). A large bucket is cut into blocks, whose firsts then meet as a bucket of their own."""
+    sizes = members.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).where("blocks > 1")
+    placed = members.join(sizes, "band", "left").withColumn("block", F.coalesce(F.pmod(F.xxhash64("x.key", F.lit(BLOCK)), F.col("blocks")), F.lit(0))).drop("blocks")
+    firsts = placed.where("block is not null").groupBy("band", "block").agg(F.min_by("x", F.struct(F.xxhash64("x.key", "band"), "x.key")).alias("x"))
+    return _meetings(placed, "band", "block").unionByName(_meetings(firsts, "band"))
+
+
+def _near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, k1, k2, key, component, component_id) of each row."""
+    rows = _rows(docs, id_col, text_col)
+    marked = durable(rows.mapInArrow(_set_batches, "doc_id long, k1 long, k2 long, key long, size long, bands array<long>"))
+    nodes = marked.groupBy("key").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.min("doc_id").alias("node"), F.min(F.struct("k1", "k2")).alias("row"))
     some, whole = LEAST_SHARED
     pairs = durable(
-        nodes.select("key", "size", "node", F.explode("bands").alias("band"))
-        .select(member.alias("x"), others.alias("others"))
-        .select("x", F.explode(F.array_distinct("others")).alias("y"))
-        .where("y is not null and x.key != y.key")
+        _candidates(nodes.select(F.struct("key", "size", "row").alias("x"), F.explode("bands").alias("band")))
         .where(whole * F.least("x.size", "y.size") >= some * F.greatest("x.size", "y.size"))  # else never so similar
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         .distinct()
     )
-    ends = pairs.select("a.*").union(pairs.select("b.*")).select("node").distinct()
-    texts = rows.join(ends, rows["doc_id"].eqNullSafe(ends["node"]), "left_semi")
+    ends = pairs.select("a.row.*").union(pairs.select("b.row.*")).distinct()
+    texts = rows.join(ends, ["k1", "k2"], "left_semi").select("text")
     sets = durable(in_small_batches(texts).mapInArrow(_hash_batches, "key long, hashes array<long>").dropDuplicates(["key"]))
     side = lambda name: sets.select(F.col("key").alias(name), F.col("hashes").alias(f"{name}_hashes"))
     both = pairs.select(F.col("a.key").alias("a"), F.col("b.key").alias("b")).join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("a_hashes", "b_hashes"))
     links = both.where(shared * (some + whole) >= some * (F.size("a_hashes") + F.size("b_hashes"))).select("a", "b")
-    reached = components(links).select(F.col("node").alias("key"), "component")
-    classes = nodes.select("key", "node").join(reached, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    least = classes.groupBy("component").agg(F.min("node").alias("component_id"))
-    names = classes.join(least, "component").select("key", "component_id")
-    return marked.select("doc_id", "key").join(names, "key").select("doc_id", "key", "component_id")
+    return marked.select("doc_id", "k1", "k2", "key").join(_classes(nodes, links, "key"), "key")
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, key, component_id): one row per row of ``docs``; ``key`` stands for the set of shingles.
+
+    Texts link where their sets of 5-word shingles have Jaccard similarity 0.8 or more, verified on
+    the whole sets. ``component_id`` is the smallest doc_id reachable. Texts of one set always share
+    a component, as do texts without words, null ones too. Null and repeated ids, long texts, empty
+    tables and other columns are as in ``near_duplicates``.
+    """
+    return _near(docs, id_col, text_col).select("doc_id", "key", "component_id")
 
 
 def one_of_near_copies(docs: DataFrame) -> DataFrame:
-    """``docs`` without near copies: the document with the smallest doc_id of each group stays, as in ``one_of_each``."""
-    return _firsts(docs, near_copies(docs))
+    """``docs`` without near copies: of each group the row with the smallest doc_id stays, as in ``one_of_each``."""
+    return _firsts(docs, _near(docs))
