@@ -3,7 +3,9 @@
 Matches of one pattern are taken out of a text, each is validated (Luhn digit, calendar date,
 octets, area codes), and its digits are permuted with a key inside their own format: a card
 stays a number with a right check digit, a date a date, punctuation stays in place. A value has
-one pseudonym everywhere, so documents stay linked through it, and ``reveal`` undoes it.
+one pseudonym everywhere, so documents stay linked through it, and ``reveal`` undoes it. Every
+permutation runs over valid values only (ranked, or walked until one is met), so a pseudonym is
+found again as a value of its kind.
 """
 
 from __future__ import annotations
@@ -11,9 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import free_name, text_of
 
 ROUNDS = 8
+REPEATED = r"^(.)\1*$"
 KEY = "tidelog-demonstration-key"
 # Formats, tried in this order at each place.
 FORMATS = {
@@ -29,6 +32,10 @@ NUMBERS = r"(?=[\d+(])(?:" + "|".join(list(FORMATS.values())[1:]) + ")"
 PATTERN = FORMATS["email"] + "|" + NUMBERS
 #: 400 Gregorian years from 1800-01-01 are 146097 days, which is 189 times 773.
 FIRST_DAY, DAY_SIDES = "1800-01-01", (189, 773)
+#: Valid areas are 001 to 899 without 666; groups 01 to 99 and serials 0001 to 9999.
+AREAS, NO_AREA, GROUPS, SERIALS = 898, 666, 99, 9999
+#: At most ten numbers of a length repeat one digit, so a walk meets another one by then.
+WALK = 11
 
 
 def _let(value: Column, use) -> Column:
@@ -98,9 +105,26 @@ def _luhn(d: Column) -> Column:
 
 
 def _card(m: Column, key: str, reveal: bool) -> Column:
-    body = lambda d: _let(F.substring(d, F.lit(1), F.length(d) - 1), lambda b: _digits(b, key, "card", reveal))
+    """The body permuted, the check digit made anew; walks on from numbers of one repeated digit, which are no cards."""
     checked = lambda b: F.concat(b, ((10 - _luhn(F.concat(b, F.lit("0")))) % 10).cast("string"))
-    return _refill(m, _let(_let(_only_digits(m), body), checked))
+    moved = lambda d: _let(_let(F.substring(d, F.lit(1), F.length(d) - 1), lambda b: _digits(b, key, "card", reveal)), checked)
+    begin = lambda d: F.struct(d.alias("d"), F.lit(False).alias("done"))
+
+    def step(acc, _):
+        on = lambda new: F.struct(new.alias("d"), (~new.rlike(REPEATED)).alias("done"))
+        return F.when(acc["done"], acc).otherwise(_let(moved(acc["d"]), on))
+
+    return _refill(m, F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), begin(_only_digits(m)), step, lambda acc: acc["d"]))
+
+
+def _national_id(m: Column, key: str, reveal: bool) -> Column:
+    """Area, and group with serial, as ranks among the valid ones."""
+    number = lambda at, n: F.substring(m, at, n).cast("long")
+    area, rest = number(1, 3), (number(5, 2) - 1) * SERIALS + number(8, 4) - 1
+    rank = F.when(area > NO_AREA, area - 2).otherwise(area - 1)
+    pair = feistel(rank, rest, F.lit(AREAS).cast("long"), F.lit(GROUPS * SERIALS).cast("long"), key, "national_id", reveal)
+    shown = lambda p: F.format_string("%03d-%02d-%04d", F.when(p["a"] + 1 >= NO_AREA, p["a"] + 2).otherwise(p["a"] + 1), F.floor(p["b"] / SERIALS) + 1, p["b"] % SERIALS + 1)
+    return _let(pair, shown)
 
 
 def _phone(m: Column, key: str, reveal: bool) -> Column:
@@ -161,8 +185,8 @@ def _email(m: Column, key: str, reveal: bool) -> Column:
 
 def _valid(m: Column, kind: str) -> Column:
     fits = m.rlike("^(?:" + FORMATS[kind] + ")$")
-    if kind == "ip":
-        return fits & (F.size(F.filter(F.split(m, r"\."), lambda x: x.cast("int") > 255)) == 0)
+    if kind == "ip":  # an octet with a leading zero has no one reading
+        return fits & (F.size(F.filter(F.split(m, r"\."), lambda x: (x.cast("int") > 255) | x.rlike("^0."))) == 0)
     if kind == "date":
         days = F.datediff(_day(m), F.lit(FIRST_DAY).cast("date"))
         return fits & F.coalesce(days.between(0, DAY_SIDES[0] * DAY_SIDES[1] - 1), F.lit(False))
@@ -172,21 +196,19 @@ def _valid(m: Column, kind: str) -> Column:
         return fits & ~m.rlike(r"^(?:000|666|9)") & ~m.rlike(r"-00-|-0000$")
     if kind == "card":
         d = _only_digits(m)
-        return fits & (F.length(d) <= 19) & (_luhn(d) == 0) & ~d.rlike(r"^(.)\1*$")
+        return fits & (F.length(d) <= 19) & (_luhn(d) == 0) & ~d.rlike(REPEATED)
     return fits
 
 
 def pseudonymise(docs: DataFrame, key: str = KEY, text_col: str = "text", reveal: bool = False) -> DataFrame:
-    """``docs`` with pseudonyms in ``text_col``, and pii: array of (kind, was it replaced).
+    """``docs`` with pseudonyms in ``text_col``, and pii: array of the kinds that were replaced.
 
-    Matches that fail validation stay as they are. Null stays null, empty stays empty; rows are
-    independent, so repeated rows and ids do not matter. A column named pii is replaced.
-    ``reveal`` with the same key restores the text.
+    Matches that fail validation stay as they are. Null stays null, empty stays empty; texts of any
+    length are searched whole; rows are independent, so repeated rows and ids do not matter; an
+    empty table stays empty. A column named pii is replaced, any other name may occur. ``reveal``
+    with the same key restores the text.
     """
-    make = {
-        "email": _email, "ip": _ip, "date": _date, "phone": _phone, "card": _card,
-        "national_id": lambda m, k, r: _refill(m, _let(_only_digits(m), lambda d: _digits(d, k, "national_id", r))),
-    }
+    make = {"email": _email, "ip": _ip, "date": _date, "phone": _phone, "card": _card, "national_id": _national_id}
 
     def one(m):
         kind = F.lit(None).cast("string")
@@ -204,10 +226,12 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text_col: str = "text", reveal
     text = F.col(text_col)
     by_kind = lambda use: F.when(text.contains("@"), use(PATTERN)).otherwise(use(NUMBERS))  # noqa: E731  no addresses to look for without an @
     hits = F.transform(by_kind(lambda p: F.when(text.rlike(p), F.regexp_extract_all(text, F.lit(p), F.lit(0)))), one)
-    found = docs.drop("pii").withColumn("_hits", F.coalesce(hits, F.array().cast("array<struct<kind:string,new:string>>")))
-    both = F.arrays_zip(by_kind(lambda p: F.split(text, p, -1)).alias("gap"), F.transform("_hits", lambda h: h["new"]).alias("new"))
+    kept = [c for c in docs.columns if c != "pii"]
+    hit = free_name(docs, "hits")
+    found = docs.select(kept).withColumn(hit, F.coalesce(hits, F.array().cast("array<struct<kind:string,new:string>>")))
+    both = F.arrays_zip(by_kind(lambda p: F.split(text, p, -1)).alias("gap"), F.transform(hit, lambda h: h["new"]).alias("new"))
     joined = F.array_join(F.transform(both, lambda x: F.concat(x["gap"], F.coalesce(x["new"], F.lit("")))), "")
-    new_text = F.when(F.size("_hits") > 0, joined).otherwise(text)
-    kinds = F.filter(F.transform("_hits", lambda h: h["kind"]), lambda k: k.isNotNull())
+    new_text = F.when(F.size(hit) > 0, joined).otherwise(text)
+    kinds = F.filter(F.transform(hit, lambda h: h["kind"]), lambda k: k.isNotNull())
     made = {text_col: new_text.alias(text_col)}
-    return found.select(*[made.get(c, F.col(c)) for c in docs.columns if c != "pii"], kinds.alias("pii"))
+    return found.select(*[made.get(c, F.col(c)) for c in kept], kinds.alias("pii"))
