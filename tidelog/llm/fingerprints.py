@@ -11,6 +11,7 @@ but r blocks at most, so each choice of (blocks - r) blocks is the key of one ta
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 from .common import SPACE, durable, text_of
 
 BITS, RADIUS, BLOCKS = 64, 3, 5
-#: Documents in a bucket of the ascending order, and the most buckets.
-BUCKET, MOST_BUCKETS = 2_000, 16_384
+#: Documents in a bucket of the ascending order, about.
+BUCKET = 2_000
 _PAIR = 0x0000000100000001
 
 
@@ -62,32 +63,40 @@ def likeness(a: Column, b: Column) -> Column:
 def in_order(docs: DataFrame) -> DataFrame:
     """(doc_id, text, next_id, next_text): each row with the next one, ascending (doc_id, text).
 
-    After the last comes the first. The order is cut into buckets at exact ids, and the first
-    row of each bucket is also dealt to the bucket before, so no bucket needs another and no task
-    sees all rows. A null id comes first; repeated rows follow each other.
+    After the last comes the first. The order is cut at ids that occur, in two levels (parts, and
+    buckets inside each part), so that a row is compared with about the square root of the number
+    of buckets, and a bucket keeps its size however many rows there are. The first rows of each
+    bucket are also dealt to the bucket before, so none needs another and no task sees all rows. A
+    null id comes first; repeated rows follow each other; an empty table gives no rows.
     """
-    spark, rows = docs.sparkSession, docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(F.col("text")).alias("text"))
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    n = rows.count()
+    n, least = rows.agg(F.count("*"), F.min(key)).first()
     if not n:
         return rows.select("doc_id", "text", F.col("doc_id").alias("next_id"), F.col("text").alias("next_text"))
-    buckets = min(MOST_BUCKETS, -(-n // BUCKET))
-    cuts = rows.select(F.percentile_approx(key, [k / buckets for k in range(buckets)], 100 * buckets).alias("q")).first()["q"]
-    cuts = sorted({*cuts})
-    least = rows.select(F.min(key).alias("least")).first()["least"]
-    cuts[0] = least  # percentile_approx returns values that occur, so each cut is the id of a row
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts])
-    home = F.size(F.filter(bounds, lambda c: c <= F.col("_key"))) - 1
-    dealt = rows.withColumn("_key", key).withColumn("_home", home)
-    last = len(cuts) - 1
-    # (bucket, 0: own row, 1: first rows of the next bucket)
-    halo = F.when(F.col("_home") > 0, F.col("_home") - 1).otherwise(F.lit(last))
-    spots = F.when(F.array_contains(bounds, F.col("_key")), F.array(F.struct(F.col("_home").alias("b"), F.lit(0).alias("halo")), F.struct(halo.alias("b"), F.lit(1).alias("halo"))))
-    spots = spots.otherwise(F.array(F.struct(F.col("_home").alias("b"), F.lit(0).alias("halo"))))
-    along = Window.partitionBy("b").orderBy("halo", "_key", "text")
+    side = math.ceil(math.sqrt(n / BUCKET))
+    # percentile_approx returns values that occur, so each cut is the id of a row
+    shares = [k / side for k in range(1, side)]
+    edges = sorted({least, *(rows.select(F.percentile_approx(key, shares, 100 * side)).first()[0] if shares else [])})
+    up_to = lambda cuts, k: F.size(F.filter(cuts, lambda c: c <= k)).cast("int")
+    placed = rows.withColumn("key", key).withColumn("part", up_to(F.array(*[F.lit(e).cast("long") for e in edges]), F.col("key")))
+    inner = F.percentile_approx("key", shares, 100 * side) if shares else F.array().cast("array<bigint>")
+    own = F.array_sort(F.array_union(F.array(F.min("key")), inner)).alias("cuts")
+    cuts = placed.groupBy("part").agg(own).withColumn("buckets", F.size("cuts"))
+    by_part = Window.orderBy("part")  # one row for each part
+    last = F.last(F.struct("part", F.col("buckets").alias("bucket"))).over(by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    before = F.coalesce(F.lag(F.struct("part", F.col("buckets").alias("bucket"))).over(by_part), last).alias("before")
+    cuts = durable(cuts.select("part", "cuts", before))
+    at = F.struct("part", F.col("bucket")).alias("b")
+    previous = F.when(F.col("bucket") > 1, F.struct("part", (F.col("bucket") - 1).alias("bucket"))).otherwise(F.col("before")).alias("b")
+    home, halo = F.struct(at, F.lit(0).alias("halo")), F.struct(previous, F.lit(1).alias("halo"))
+    spots = F.when(F.array_contains("cuts", F.col("key")), F.array(home, halo)).otherwise(F.array(home))
+    along = Window.partitionBy("b").orderBy("halo", "key", "text")
     return (
-        dealt.select("doc_id", "text", "_key", F.explode(spots).alias("_s"))
-        .select("doc_id", "text", "_key", "_s.b", "_s.halo")
+        placed.join(cuts, "part")
+        .withColumn("bucket", up_to(F.col("cuts"), F.col("key")))
+        .select("doc_id", "text", "key", F.explode(spots).alias("s"))
+        .select("doc_id", "text", "key", "s.b", "s.halo")
         .withColumn("next_id", F.lead("doc_id").over(along))
         .withColumn("next_text", F.lead("text").over(along))
         .where("halo = 0")
@@ -120,8 +129,9 @@ def edited_fingerprints(docs: DataFrame, radius: int = RADIUS, every: int = 50)
 
     The edited text has its last floor(n_chars / 4) code points replaced by the first as many (or
     all) of the next document. A single document is its own next. n_within: for ids divisible by
-    ``every``, how many other rows have a fingerprint within ``radius``; else null. Empty texts
-    have fingerprint 0. Equal rows count each for itself.
+    ``every``, how many other rows have a fingerprint within ``radius``; else null. Null and empty
+    texts have fingerprint 0; texts of any length count whole; equal rows count each for itself; rows
+    without an id come first and are no queries; an empty table gives no rows; other columns are ignored.
     """
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")

@@ -11,15 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, free_name
 
 SEED = "mix-1"
 #: A mean above this is drawn as a sum of equal parts, as exp(-mean) would underflow.
 PART = 500.0
 #: At most so many sources are sent to every executor (about 100 bytes each, and their
-#: distributions); more are joined by a salted shuffle.
+#: distributions); more are joined by a salted shuffle, with a salt for each shuffle partition.
 FEW_SOURCES = 2_000
-SALTS = 32
 
 
 def uniform(*parts: Column) -> Column:
@@ -63,35 +62,32 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, size:
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, size: float | None = None, seed: str = SEED) -> DataFrame:
     """``docs`` replicated and shuffled; adds copy (from 0), n_copies and rate.
 
-    A document with n_copies 0 does not occur. Rows with the same id draw the same count.
-    Columns named copy, n_copies or rate in the input are replaced.
+    A document with n_copies 0 does not occur. Rows with the same id draw the same count, rows
+    without an id that of the empty id; null and empty texts count no characters and are drawn like
+    any other, long ones whole; a null source is a source of its own; an empty table stays empty.
+    Columns named copy, n_copies or rate in the input are replaced, any other name may occur.
     """
     docs = docs.drop("copy", "n_copies", "rate")
-    rates = source_rates(docs, weights, size)
-    parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / PART).cast("int"))
-    drawn = rates.select(
-        F.col("source").alias("_source"), F.col("rate"), parts.alias("_parts"), poisson_cdf(F.col("rate") / parts).alias("_cdf")
-    )
+    spark, rates = docs.sparkSession, source_rates(docs, weights, size)
+    source, parts, cdf, salt, number, place = (free_name(docs, n) for n in ("drawn_source", "parts", "cdf", "salt", "number", "place"))
+    many_parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / PART).cast("int"))
+    drawn = rates.select(F.col("source").alias(source), F.col("rate"), many_parts.alias(parts), poisson_cdf(F.col("rate") / many_parts).alias(cdf))
+    same = docs["source"].eqNullSafe(drawn[source])
     if rates.count() <= FEW_SOURCES:
-        joined = docs.join(F.broadcast(drawn), docs["source"].eqNullSafe(drawn["_source"]))
+        joined = docs.join(F.broadcast(drawn), same)
     else:  # a hot source is spread over the salts
-        spread = drawn.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        salted = docs.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-        joined = salted.join(spread, salted["source"].eqNullSafe(spread["_source"]) & (salted["_salt"] == spread["_salt"])).drop("_salt")
+        salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spread = drawn.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        salted = docs.withColumn(salt, F.pmod(F.xxhash64("doc_id", "text"), F.lit(salts)).cast("int"))
+        joined = salted.join(spread, salted["source"].eqNullSafe(spread[source]) & (salted[salt] == spread[salt])).drop(salt)
 
     def draw(j):
         u = uniform(F.lit(seed), F.col("doc_id"), j)
-        return F.size(F.filter(F.col("_cdf"), lambda c: c <= u))
+        return F.size(F.filter(F.col(cdf), lambda c: c <= u))
 
-    one = F.size(F.filter(F.col("_cdf"), lambda c: c <= F.col("_u")))
-    many = F.aggregate(F.sequence(F.lit(1), F.col("_parts")), F.lit(0), lambda acc, j: acc + draw(j))
-    counted = joined.withColumn("_u", uniform(F.lit(seed), F.col("doc_id"))).withColumn("n_copies", F.when(F.col("_parts") == 1, one).otherwise(many))
+    one = F.size(F.filter(F.col(cdf), lambda c: c <= F.col(number)))
+    many = F.aggregate(F.sequence(F.lit(1), F.col(parts)), F.lit(0), lambda acc, j: acc + draw(j))
+    counted = joined.withColumn(number, uniform(F.lit(seed), F.col("doc_id"))).withColumn("n_copies", F.when(F.col(parts) == 1, one).otherwise(many))
     copies = counted.where("n_copies > 0").withColumn("copy", F.explode(F.expr("sequence(0, n_copies - 1)")))
-    place = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("copy"))
-    return (
-        copies.drop("_source", "_parts", "_cdf", "_u")
-        .withColumn("_place", place)
-        .repartition("_place")
-        .sortWithinPartitions("_place")
-        .drop("_place")
-    )
+    dealt = copies.drop(source, parts, cdf, number).withColumn(place, F.xxhash64(F.lit(seed), F.col("doc_id"), F.xxhash64("text"), F.col("copy")))
+    return dealt.repartition(place).sortWithinPartitions(place).drop(place)
