@@ -1,9 +1,11 @@
 """Chat formatting: roles from transcripts by a hidden Markov model, and canonical turns.
 
 A row is a piece of a transcript (a turn, or several with speaker markers inside). Its segments
-are the observations: the speaker marker, if there is one, and line features (length, question,
-number of lines). Hidden states are the roles. Viterbi finds the best roles of a conversation,
-and turns are rendered so that joining the pieces in order gives the canonical transcript.
+are the observations: the speaker marker in the text, if there is one, and line features (length,
+question, number of lines). Hidden states are the roles. Recorded roles teach the model its counts,
+of conversations that are not held out; decoding does not see them unless asked to, so that the
+result says what the model recovers. Viterbi finds the best roles of a conversation, and turns are
+rendered so that joining the pieces in order gives the canonical transcript.
 
 A conversation of any length is decoded exactly without being gathered: the rows are range-sorted
 by (conversation, turn); each partition sums up its open ends as max-plus matrices (best score
@@ -13,8 +15,8 @@ then every partition decodes its own part between the roles at its ends.
 
 from __future__ import annotations
 
-import math
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -24,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_small_batches, shared_dir, text_of
+from .common import held_out, in_small_batches, shared_dir, text_of
 
 ROLES = ("system", "user", "assistant")
 # Names of speakers.
@@ -66,7 +68,7 @@ class Model:
             table = np.ones(sizes)
             for key, n in counts.items():
                 if key[0] == kind:
-                    table[key[1:]] += n
+                    table[key[1:] if len(sizes) > 1 else key[1]] += n
             return np.log(table / table.sum(axis=-1, keepdims=True))
 
         self.start, self.change = logs("start", (_N,)), logs("change", (_N, _N))
@@ -110,8 +112,8 @@ def transfer(model: Model, seen: list) -> np.ndarray:
     return out
 
 
-def _groups(batches: Iterator[pa.RecordBatch]):
-    """(conversation, rows) of a sorted partition; a row: (turn, given role, segments)."""
+def _groups(batches: Iterator[pa.RecordBatch], recorded: bool):
+    """(conversation, rows) of a sorted partition; a row: (turn, given role, segments). ``recorded``: the given role is a marker."""
     conv, rows, began = None, [], False
     for batch in batches:
         for c, turn, role, text in zip(*(batch.column(k).to_pylist() for k in range(4))):
@@ -119,7 +121,7 @@ def _groups(batches: Iterator[pa.RecordBatch]):
                 if began:
                     yield conv, rows
                 conv, rows, began = c, [], True
-            rows.append((turn, role, segments(text, role)))
+            rows.append((turn, role, segments(text, role if recorded else None)))
     if began:
         yield conv, rows
 
@@ -128,34 +130,42 @@ def _observed(rows: list) -> list:
     return [(mark, features(text), k > 0) for _, _, parts in rows for k, (mark, text) in enumerate(parts)]
 
 
-_ENDS = "part int, place int, conv_id long, known boolean, counts string, matrix array<double>"
+def apart(conv: int | None) -> bool:
+    """Whether a conversation is held out, as ``common.held_out`` says of its id."""
+    return conv is None or zlib.crc32(str(conv).encode()) % 4 == 2
 
 
-def _ends(model: Model | None):
+_ENDS = "part int, place int, conv_id long, known boolean, counts array<struct<kind:string,a:int,b:int,n:long>>, matrix array<double>"
+_KINDS = ("length", "question", "lines")
+
+
+def _ends(model: Model | None, recorded: bool = True):
     """For mapInArrow: a partition's counts (no model) or matrices of its first and last conversation."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, counts, edges = TaskContext.get().partitionId(), Counter(), []
-        for conv, rows in _groups(batches):
+        for conv, rows in _groups(batches, recorded):
+            seen = _observed(rows)
             if model is None:
-                marks = [m for m, _, _ in _observed(rows)]
-                for (mark, seen, inside), previous in zip(_observed(rows), [None, *marks]):
-                    if mark < 0:
-                        continue
-                    for kind, value in zip(("length", "question", "lines"), seen):
-                        counts[(kind, mark, value)] += 1
-                    if previous is not None and previous >= 0 and not inside:
-                        counts[("change", previous, mark)] += 1
+                marks = [m for m, _, _ in seen]
                 edge = [float(marks[0]), float(marks[-1])]
+                if not apart(conv):
+                    for (mark, found, inside), previous in zip(seen, [-1, *marks]):
+                        if mark < 0:
+                            continue
+                        for kind, value in zip(_KINDS, found):
+                            counts[(kind, mark, value)] += 1
+                        if previous >= 0 and not inside:
+                            counts[("change", previous, mark)] += 1
+                    counts[("start", int(edge[0]), -1)] += edge[0] >= 0
             else:
-                edge = transfer(model, _observed(rows)).ravel().tolist()
-                first = model.emission(*_observed(rows)[0][:2]) + model.start  # were it to begin here
-                edge += [viterbi_scores(model, _observed(rows), first).tolist()][0]
+                edge = transfer(model, seen).ravel().tolist()
+                edge += viterbi_scores(model, seen, model.emission(*seen[0][:2]) + model.start).tolist()  # were it to begin here
             edges = [*edges[:1], (conv, edge)] if edges else [(conv, edge)]
-            if model is None:
-                counts[("start", int(edge[0]))] += edge[0] >= 0
-        out = [{"part": part, "place": k, "conv_id": c, "known": c is not None, "counts": repr(dict(counts)) if k == 0 else None, "matrix": e} for k, (c, e) in enumerate(edges)]
-        schema = pa.schema([("part", pa.int32()), ("place", pa.int32()), ("conv_id", pa.int64()), ("known", pa.bool_()), ("counts", pa.string()), ("matrix", pa.list_(pa.float64()))])
+        listed = [{"kind": kind, "a": a, "b": b, "n": n} for (kind, a, b), n in counts.items()]
+        out = [{"part": part, "place": k, "conv_id": c, "known": c is not None, "counts": listed if k == 0 else None, "matrix": e} for k, (c, e) in enumerate(edges)]
+        count = pa.struct([("kind", pa.string()), ("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64())])
+        schema = pa.schema([("part", pa.int32()), ("place", pa.int32()), ("conv_id", pa.int64()), ("known", pa.bool_()), ("counts", pa.list_(count)), ("matrix", pa.list_(pa.float64()))])
         yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     return work
@@ -200,35 +210,38 @@ def sorted_rows(convs: DataFrame) -> DataFrame:
 
 
 def fit(rows: DataFrame) -> Model:
-    """The model from all segments of ``sorted_rows`` whose role is marked; without any, even odds."""
+    """The model from the marked segments of ``sorted_rows`` that are not held out; without any, even odds."""
     found = sorted(rows.mapInArrow(_ends(None), _ENDS).collect(), key=lambda r: (r.part, r.place))
     counts: Counter = Counter()
     for r in found:
-        if r.counts:
-            counts.update({k: int(v) for k, v in eval(r.counts, {"__builtins__": {}}).items()})  # noqa: S307  our own repr
+        counts.update({(c.kind, c.a, c.b): c.n for c in r.counts or []})
     edges = [(r.part, r.place, r.conv_id) for r in found]
     for chain in _chains(edges):
+        if apart(edges[chain[0]][2]):
+            continue
         for a, b in zip(chain, chain[1:]):  # counted as a start, but it goes on
             before, first = int(found[a].matrix[1]), int(found[b].matrix[0])
             if first >= 0:
-                counts[("start", first)] -= 1
+                counts[("start", first, -1)] -= 1
                 if before >= 0:
                     counts[("change", before, first)] += 1
     return Model(counts)
 
 
-def chat(convs: DataFrame, model: Model | None = None) -> DataFrame:
-    """(conv_id, turn, part, role, given_role, starts_turn, rendered) of every segment of every row.
+def chat(convs: DataFrame, model: Model | None = None, use_roles: bool = False) -> DataFrame:
+    """(conv_id, turn, part, role, given_role, held_out, starts_turn, rendered) of every segment of every row.
 
-    convs: conv_id, turn, text, and role if known (a speaker's name, taken as a marker). Joining
-    ``rendered`` in order of (conv_id, turn, part) gives each conversation's canonical transcript:
-    neighbouring segments of one role make one turn. Null and empty texts are segments like any
-    other; null ids are one conversation; rows with the same turn follow by a hash of their text,
-    repeated rows one after the other; an empty table gives no rows; other columns are ignored.
+    convs: conv_id, turn, text, and role if recorded (a speaker's name). The model learns from the
+    roles of conversations that are not held out; ``role`` is what it recovers from the texts alone,
+    or, with ``use_roles``, with recorded roles taken as markers. Joining ``rendered`` in order of
+    (conv_id, turn, part) gives each conversation's canonical transcript: neighbouring segments of
+    one role make one turn. Null and empty texts are segments like any other; long ones count whole;
+    null ids are one conversation; rows with the same turn follow by a hash of their text, repeated
+    rows one after the other; an empty table gives no rows; other columns are ignored.
     """
     rows = sorted_rows(convs)
     model = model or fit(rows)
-    found = sorted(rows.mapInArrow(_ends(model), _ENDS).collect(), key=lambda r: (r.part, r.place))
+    found = sorted(rows.mapInArrow(_ends(model, use_roles), _ENDS).collect(), key=lambda r: (r.part, r.place))
     edges = [(r.part, r.place, r.conv_id) for r in found]
     before: dict[tuple[int, int], list] = {}  # scores of the role before an edge, and that role
     last: dict[tuple[int, int], int] = {}
@@ -254,7 +267,7 @@ def chat(convs: DataFrame, model: Model | None = None) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, out = TaskContext.get().partitionId(), []
-        groups = _groups(batches)
+        groups = _groups(batches, use_roles)
         current, first = next(groups, None), True
         while current is not None:
             following = next(groups, None)
@@ -278,4 +291,5 @@ def chat(convs: DataFrame, model: Model | None = None) -> DataFrame:
                 out = []
             current, first = following, False
 
-    return rows.mapInArrow(work, schema)
+    made = rows.mapInArrow(work, schema)
+    return made.select("conv_id", "turn", "part", "role", "given_role", held_out(F.col("conv_id")).alias("held_out"), "starts_turn", "rendered")
