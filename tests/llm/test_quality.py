@@ -16,7 +16,10 @@ def test_features_are_words_and_grams():
     assert buckets[sizes[0] : sizes[0] + sizes[1]].tolist() == one.tolist() and buckets.max() < qc.BUCKETS
     shared = set(qc.features(["xabc"])[0]) & set(qc.features(["yabc"])[0])
     assert shared  # the gram abc
-    assert qc.document("")[0].size == 0 and abs(qc.document("a b a")[1].sum() - 1) < 1e-9
+    assert qc.document("")[0].size == 0
+    buckets, shares = qc.document("a b a")
+    assert abs(shares[buckets < qc.BUCKETS].sum() - 1) < 1e-9 and shares[buckets >= qc.BUCKETS].tolist() == [1, 1]  # each kind by itself
+    assert qc.patterns("a a b\nc\nc\n\n", ["a", "a", "b", "c", "c"]).tolist() == [0.5, 0.5, 1 / 3, 2 / 3]
 
 
 def test_scorer_equals_the_plain_average():
@@ -37,10 +40,19 @@ def test_classifier_on_held_out_rows(spark, sf_dir):
     again = qc.learn(docs.repartition(5), labels)
     assert np.array_equal(model[0], again[0]) and model[1] == again[1]
     rows = qc.score(docs, *model).join(labels, "doc_id").where("held_out").collect()
-    assert len(rows) > 50 and sum(r.predicted == r.quality for r in rows) / len(rows) >= 0.93
+    assert len(rows) > 50 and sum(r.predicted == r.quality for r in rows) / len(rows) > 0.96
     assert all(r.predicted == int(r.score >= 0.7) for r in rows)
 
 
+def test_the_sample_is_bounded_by_its_features(spark, sf_dir, monkeypatch):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    seen = []
+    monkeypatch.setattr(qc, "FEATURES", 20_000)
+    monkeypatch.setattr(qc, "train", lambda rows: seen.append(sum(len(r[0]) for r in rows)) or (np.zeros((qc.BUCKETS + qc.PATTERNS, 1)), np.zeros((1, 2)), np.zeros(2)))
+    qc.learn(docs.unionByName(docs), labels)  # repeated ids are learned once
+    assert 5_000 < seen[0] <= 20_000
+
+
 def test_classifier_on_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(7, 1), (4, 0), (None, 1), (9, None), (20, 0)], "doc_id long, quality int")
     for marks in (labels, labels.where("false"), labels.where("quality = 1")):

@@ -1,9 +1,10 @@
 """Quality classifier on supervised subword embeddings.
 
-A document is the average of learned vectors of its hashed words, character n-grams, and the
-repetition pattern of its word pairs and lines (again or new); a softmax layer reads it, and both are trained together by stochastic gradient descent in numpy, one
-document a step. As the last layer is linear in the average, scoring needs one number for each
-bucket and, cached, one for each word.
+A document is the average of learned vectors of its hashed words and character n-grams, plus, each
+kind averaged by itself, those of its word pairs and of its lines (again or new: whether a unit
+repeats is no part of any n-gram). A softmax layer reads the sum, and vectors and layer are trained
+together by stochastic gradient descent in numpy, one document a step. As the layer is linear in
+the averages, scoring needs one number for each bucket and, cached, one for each word.
 """
 
 from __future__ import annotations
@@ -16,15 +17,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, in_small_batches, labelled_sample, text_of
+from .common import discard, durable, held_out, in_small_batches, labelled_sample, text_of
 
 THRESHOLD = 0.7
 BUCKETS, DIM, GRAMS = 1 << 17, 16, (3, 4, 5)
 #: Labelled rows learned from, at most about so many a class; passes over them.
 #: A small sample is passed over more often, up to ten times as often, for as many steps.
 PER_CLASS, EPOCHS, STEPS, RATE = 2_000, 5, 12_000, 0.5
-#: Pattern features, each as heavy as so many others.
-PATTERNS, PATTERN_WEIGHT = 4, 8.0
+#: Most features (distinct buckets over all documents) learned from, 8 bytes each on the driver: a
+#: sample with more is thinned further by a hash of the id.
+FEATURES = 16_000_000
+#: Pattern features: pairs again, new; lines again, new.
+PATTERNS = 4
 _KNOWN = 300_000
 
 
@@ -55,24 +59,26 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def patterns(text: str, words: list[str]) -> np.ndarray:
-    """Weights of the pattern features: word pairs again, new; lines again, new."""
+    """Shares of word pairs again and new, and of lines again and new; the shares of a kind add up to 1, or are 0 where it has no unit."""
     same = sum(map(str.__eq__, words, words[1:]))
     lines = [x for x in map(str.strip, text.split("\n")) if x]
     again = len(lines) - len(set(lines))
-    return PATTERN_WEIGHT * np.array([same, len(words) - 1 - same, again, len(lines) - again], dtype=np.float64)
+    pairs = max(1, len(words) - 1)
+    return np.array([same / pairs, (len(words) - 1 - same) / pairs, again / max(1, len(lines)), (len(lines) - again) / max(1, len(lines))])
 
 
 def document(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of a text and their shares, which add up to 1."""
+    """Distinct buckets of a text and their shares, which add up to 1 within each kind."""
     words = text.split()
     if not words:
         return np.empty(0, np.int64), np.empty(0)
     names, counts = np.unique(np.array(words, dtype=object), return_counts=True)
     buckets, sizes = features(list(names))
     total = np.bincount(buckets, weights=np.repeat(counts, sizes), minlength=BUCKETS + PATTERNS)
+    total /= total.sum()
     total[BUCKETS:] += patterns(text, words)
     found = np.flatnonzero(total)
-    return found, total[found] / total.sum()
+    return found, total[found]
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,18 +121,24 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tup
     """(one number for each bucket, bias): the difference of the two outputs before the softmax.
 
     Classes are learned in equal numbers; the bias is then moved to their true odds. Without rows
-    of both classes every score is the share of class 1 (0.5 without any).
+    of both classes every score is the share of class 1 (0.5 without any). Texts without words teach
+    nothing. The driver holds at most ``FEATURES`` numbers of the sample, however long its texts.
     """
     sample = labelled_sample(docs, labels, "quality", per_class).select("text", "label", F.col("share").cast("double"), "doc_id")
-    table = sample.mapInArrow(_sparse, "buckets array<int>, shares array<float>, label int, share double, doc_id long").toArrow()
-    order = np.argsort(table["doc_id"].to_numpy(), kind="stable")
-    label, share = table["label"].to_numpy(), table["share"].to_numpy()
-    buckets, shares = table["buckets"].combine_chunks(), table["shares"].combine_chunks()
-    rows = [(buckets[k].values.to_numpy(), shares[k].values.to_numpy(), int(label[k])) for k in order.tolist() if len(buckets[k].values)]
-    size = {v: float((1 / share[label == v]).sum()) for v in (0, 1)}
+    sparse = durable(sample.mapInArrow(_sparse, "buckets array<int>, shares array<float>, label int, share double, doc_id long"))
+    sizes = sparse.select("doc_id", "label", "share", F.size("buckets").alias("n")).collect()
+    sizes.sort(key=lambda r: (zlib.crc32(b"sample %d" % r.doc_id), r.doc_id))
+    ends = np.cumsum([r.n for r in sizes])
+    few = sizes[: max(1, int(np.searchsorted(ends, FEATURES, side="right")))]
+    size = {v: float(sum(1 / r.share for r in sizes if r.label == v)) for v in (0, 1)}
     odds = float(np.log((size[1] + 0.5) / (size[0] + 0.5)))
     if not size[0] or not size[1]:
         return np.zeros(BUCKETS + PATTERNS, np.float32), odds if size[0] + size[1] else 0.0
+    table = (sparse.where(F.col("doc_id").isin([r.doc_id for r in few])) if len(few) < len(sizes) else sparse).toArrow()
+    discard(sparse)
+    order = np.argsort(table["doc_id"].to_numpy(), kind="stable")
+    label, buckets, shares = table["label"].to_numpy(), table["buckets"].combine_chunks(), table["shares"].combine_chunks()
+    rows = [(buckets[k].values.to_numpy(), shares[k].values.to_numpy(), int(label[k])) for k in order.tolist() if len(buckets[k].values)]
     ones = sum(r[2] for r in rows)
     vectors, out, bias = train(rows)
     return vectors @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0]) + odds - float(np.log((ones + 0.5) / (len(rows) - ones + 0.5)))
@@ -155,16 +167,16 @@ class Scorer:
         for k, words in enumerate(split):
             if words:
                 ids = np.fromiter(map(known.__getitem__, words), dtype=np.int64, count=len(words))
-                own = patterns(texts[k], words)
-                out[k] += (self.sums[ids].sum() + own @ self.by_bucket[BUCKETS:]) / (self.sizes[ids].sum() + own.sum())
+                out[k] += self.sums[ids].sum() / self.sizes[ids].sum() + patterns(texts[k], words) @ self.by_bucket[BUCKETS:]
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
 def score(docs: DataFrame, by_bucket: np.ndarray, bias: float) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs``, over its whole text.
 
-    Null and empty texts have no features: their score is the bias alone. Rows are independent.
-    The model sent to the executors has ``BUCKETS + PATTERNS`` floats, whatever the data.
+    Null and empty texts have no features: their score is the bias alone. Long texts count whole;
+    rows are independent, also where they or their ids repeat; a null id counts as held out; a score
+    of just the threshold predicts 1; an empty table gives no rows; other columns are ignored. The model sent to the executors has ``BUCKETS + PATTERNS`` floats, whatever the data.
     """
     model = docs.sparkSession.sparkContext.broadcast((by_bucket.astype(np.float32), bias))
 
