@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions.binary import byte_at, le_uint, uuid_text
 from ..types import ANONYMOUS_GTID, FORMAT_DESCRIPTION, GTID, HEADER, QUERY, ROTATE, XID
+from .order import file_number
 
 
 def sequence_key(log_file: Column, start_pos: Column) -> Column:
     """T4: a sortable number of the place in the log: file number, then position; gaps are fine."""
-    number = F.coalesce(F.regexp_extract(log_file, r"(\d+)$", 1).try_cast("long"), F.lit(0))
-    return F.shiftleft(number, 40) + start_pos
+    return F.shiftleft(file_number(log_file), 40) + start_pos
 
 
 def with_header(raw: DataFrame) -> DataFrame:
@@ -35,24 +35,26 @@ def checksum_ok(body: Column) -> Column:
     return F.crc32(F.substring(body, F.lit(1), F.length(body) - 4)) == le_uint(body, F.length(body) - 4, 4)
 
 
-def with_payload(events: DataFrame) -> DataFrame:
+def formats(events: DataFrame) -> DataFrame:
+    """(file, formats): places and checksum algorithms of each file's FORMAT_DESCRIPTION events, one or a few."""
+    found = F.struct("start_pos", checksum_algorithm(F.col("body")).alias("alg"))
+    return events.where(F.col("type") == FORMAT_DESCRIPTION).groupBy(F.col("log_file").alias("_file")).agg(F.sort_array(F.collect_set(found)).alias("_formats"))
+
+
+def with_payload(events: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Payload without header and checksum, and crc_ok (null without checksums; a mismatch is kept).
 
-    The algorithm is that of the last FORMAT_DESCRIPTION before the event in its file. There are
-    one or a few in a file, so they are gathered by file and looked up; no window over the log. The engine broadcasts them
-    by their measured size.
+    The algorithm is that of the last FORMAT_DESCRIPTION before the event in its file, of
+    ``known`` (``formats`` of the same log) or of the events themselves; no window over the log.
+    The engine broadcasts them by their measured size.
     """
-    formats = (
-        events.where(F.col("type") == FORMAT_DESCRIPTION)
-        .groupBy(F.col("log_file").alias("_file"))
-        .agg(F.sort_array(F.collect_set(F.struct("start_pos", checksum_algorithm(F.col("body")).alias("alg")))).alias("_formats"))
-    )
     before = F.filter("_formats", lambda f: f["start_pos"] <= F.col("start_pos"))
     alg = F.coalesce(F.try_element_at(before, F.lit(-1))["alg"], F.lit(0))
     on = (F.col("_alg") == 1) & (F.length("body") >= HEADER + 4)
     size = F.length("body") - F.when(on, HEADER + 4).otherwise(HEADER)
+    own = formats(events) if known is None else known
     return (
-        events.join(formats, events["log_file"] == formats["_file"], "left")
+        events.join(own, events["log_file"] == own["_file"], "left")
         .withColumn("_alg", alg)
         .withColumn("crc_ok", F.when(on, checksum_ok(F.col("body"))))
         .withColumn("payload", F.substring("body", F.lit(HEADER + 1), size))

@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 from ..functions.text import ddl_targets
 from ..types import QUERY
+from .order import by_file
+
+
+def ddl_places(events: DataFrame) -> DataFrame:
+    """(log_file, seq, schema, table): where DDL changes which table."""
+    targets = F.explode(ddl_targets(F.col("query.query"), F.col("query.schema"))).alias("t")
+    return events.where((F.col("type") == QUERY) & F.col("query").isNotNull()).select("log_file", "seq", targets).select("log_file", "seq", "t.schema", "t.table").distinct()
 
 
 def invalidations(events: DataFrame) -> DataFrame:
     """(schema, table, at): the sorted places of DDL on each table."""
-    hits = events.where((F.col("type") == QUERY) & F.col("query").isNotNull()).select("seq", F.explode(ddl_targets(F.col("query.query"), F.col("query.schema"))).alias("t"))
-    return hits.groupBy(F.col("t.schema").alias("schema"), F.col("t.table").alias("table")).agg(F.sort_array(F.collect_set("seq")).alias("at"))
+    return ddl_places(events).groupBy("schema", "table").agg(F.sort_array(F.collect_set("seq")).alias("at"))
 
 
 def as_of(df: DataFrame, is_map: Column, value: Column, key: str = "table_id", file: str = "log_file", order: str = "seq", name: str = "map") -> DataFrame:
@@ -24,8 +30,8 @@ def as_of(df: DataFrame, is_map: Column, value: Column, key: str = "table_id", f
     marked = df.withColumn("_v", F.when(is_map, value))
     inside = Window.partitionBy(file, key).orderBy(order)
     ends = marked.groupBy(F.col(file).alias("_file"), F.col(key).alias("_key")).agg(F.max_by(F.when(is_map, F.col("_v")), F.when(is_map, F.col(order))).alias("_last"))
-    by_file = Window.partitionBy("_key").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    before = ends.select("_file", "_key", F.last("_last", ignorenulls=True).over(by_file).alias("_before"))
+    files = Window.partitionBy("_key").orderBy(*by_file("_file")).rowsBetween(Window.unboundedPreceding, -1)
+    before = ends.select("_file", "_key", F.last("_last", ignorenulls=True).over(files).alias("_before"))
     joined = marked.join(before, (marked[file] == before["_file"]) & marked[key].eqNullSafe(before["_key"]), "left")
     return joined.withColumn(name, F.coalesce(F.last("_v", ignorenulls=True).over(inside), F.col("_before"))).drop("_v", "_file", "_key", "_before")
 
@@ -38,6 +44,30 @@ def valid(rows: DataFrame, changed: DataFrame, name: str = "map", order: str = "
     return joined.withColumn(name, F.when(~stale, F.col(name))).drop("_schema", "_table", "at")
 
 
+def timeline(maps: DataFrame, ddl: DataFrame) -> DataFrame:
+    """(table_id, states): the sorted places where the map in force of a table id changes, and the map from there on.
+
+    maps: log_file, seq, table_id, map (schema, table, columns); ddl: log_file, seq, schema, table.
+    A log says the same map in every transaction; only changes are kept (DDL makes it null until
+    the next map), first inside each file and then over the files, so a table id has about as many
+    states as its table has had schemas, and rows can look theirs up without being moved.
+    """
+    names = maps.select("table_id", F.col("map.schema").alias("schema"), F.col("map.table").alias("table")).distinct()
+    gone = ddl.join(names, ["schema", "table"]).select("log_file", "seq", "table_id", F.lit(True).alias("ddl"), F.struct("schema", "table", F.lit(None).cast(maps.schema["map"].dataType["columns"].dataType).alias("columns")).alias("map"))
+    both = maps.select("log_file", "seq", "table_id", F.lit(False).alias("ddl"), "map").unionByName(gone)
+    last = as_of(both, ~F.col("ddl"), F.col("map"), name="now")
+    hits = ~F.col("ddl") | ((F.col("now.schema") == F.col("map.schema")) & (F.col("now.table") == F.col("map.table")))
+    state = last.where(hits).select("log_file", "seq", "table_id", F.when(~F.col("ddl"), F.col("map")).alias("map"))
+
+    def changes_only(df: DataFrame, *keys: str) -> DataFrame:
+        along = Window.partitionBy(*keys).orderBy("seq")
+        before = F.lag(F.struct("map")).over(along)
+        return df.withColumn("_b", before).where(F.col("_b").isNull() | ~F.col("_b.map").eqNullSafe(F.col("map"))).drop("_b")
+
+    few = changes_only(changes_only(state, "log_file", "table_id"), "table_id")
+    return few.groupBy("table_id").agg(F.sort_array(F.collect_list(F.struct("seq", "map"))).alias("states"))
+
+
 def catalog_columns(catalog: DataFrame) -> DataFrame:
     """(schema, table, cols): columns of each table by their ordinal, with key flags.
 

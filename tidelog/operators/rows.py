@@ -13,7 +13,8 @@ from pyspark.sql.types import StructType
 from ..functions.binary import le_uint
 from ..types import CHANGES, COLUMN, DELETES, MAPS, PREVIOUS_GTIDS, ROWS, TABLE_MAP, UPDATES
 from . import decoder
-from .metadata import as_of, invalidations, valid, with_names
+from .header import sequence_key
+from .metadata import ddl_places, timeline, with_names
 
 #: Rows of one event that go into one batch at most.
 BATCH = 2_000
@@ -60,25 +61,27 @@ def previous_gtids(events: DataFrame) -> DataFrame:
     return events.where(F.col("type") == PREVIOUS_GTIDS).select("payload").mapInArrow(work, ddl)
 
 
-def bound_rows(events: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
-    """Rows events with the table map in force when they were written (null if there is none)."""
+def bound_rows(events: DataFrame, catalog: DataFrame | None = None, rows: DataFrame | None = None) -> DataFrame:
+    """Rows events with the table map in force when they were written (null if there is none).
+
+    rows: the rows events, if ``events`` does not hold them. Their payloads meet a table of a few
+    states for each table id, which the engine sends to them where it is small.
+    """
     maps = table_maps(events).where("error is null")
-    seqs = events.where(F.col("type") == TABLE_MAP).select(F.col("log_file").alias("_f"), F.col("start_pos").alias("_p"), F.col("seq").alias("seq"))
-    named = with_names(maps, catalog).join(seqs, (F.col("log_file") == F.col("_f")) & (F.col("start_pos") == F.col("_p"))).drop("_f", "_p")
-    value = F.struct("seq", "schema", "table", "columns")
-    none_map, none_rows = F.lit(None).cast(f"struct<seq:bigint,schema:string,table:string,columns:array<{COLUMN}>>"), F.lit(None)
-    left = named.select("log_file", "start_pos", "seq", "table_id", F.lit(TABLE_MAP).alias("type"), none_rows.cast("binary").alias("payload"), value.alias("_m"))
-    right = events.where(F.col("type").isin(*ROWS)).select("log_file", "start_pos", "seq", le_uint(F.col("payload"), 0, 6).alias("table_id"), "type", "payload", none_map.alias("_m"))
-    both = as_of(left.unionByName(right), F.col("type") == TABLE_MAP, F.col("_m"))
-    return valid(both.where(F.col("type") != TABLE_MAP).drop("_m"), invalidations(events))
+    value = F.struct("schema", "table", "columns").alias("map")
+    named = with_names(maps, catalog).select("log_file", sequence_key(F.col("log_file"), F.col("start_pos")).alias("seq"), "table_id", value)
+    states = timeline(named, ddl_places(events)).withColumnRenamed("table_id", "_id")
+    own = (events if rows is None else rows).where(F.col("type").isin(*ROWS)).withColumn("table_id", le_uint(F.col("payload"), 0, 6))
+    before = F.filter("states", lambda s: s["seq"] <= F.col("seq"))
+    return own.join(states, own["table_id"] == states["_id"], "left").withColumn("map", F.try_element_at(before, F.lit(-1))["map"]).drop("states", "_id")
 
 
 def operation(kind: Column) -> Column:
     return F.when(kind.isin(*UPDATES), "update").when(kind.isin(*DELETES), "delete").otherwise("insert")
 
 
-def changes(events: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
-    """One row for each changed row, in the order of ``row_idx`` within its event.
+def changes(events: DataFrame, catalog: DataFrame | None = None, rows: DataFrame | None = None) -> DataFrame:
+    """One row for each changed row, in the order of ``row_idx`` within its event; ``rows`` as in ``bound_rows``.
 
     An event without a table map, or that cannot be decoded, gives one row with an error, and
     no images; rows of it decoded before the fault are dropped, as their end is not certain.
@@ -114,12 +117,12 @@ def changes(events: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
                         out = where, index, before, after, errors = [], [], _Images(), _Images(), []
             yield batch_of(batch, *out)
 
-    rows = bound_rows(events, catalog).select(
+    bound = bound_rows(events, catalog, rows).select(
         "log_file", "start_pos", "table_id", F.col("map.schema").alias("schema"), F.col("map.table").alias("table"),
         operation(F.col("type")).alias("op"), F.col("map.columns").alias("columns"), "type", "payload",
         F.transform("map.columns", lambda c: c["type"].cast("int").bitwiseAND(F.lit(255))).alias("types"), F.col("map.columns.meta").alias("metas"),
     )
-    return rows.mapInArrow(work, CHANGES)
+    return bound.mapInArrow(work, CHANGES)
 
 
 class _Images:

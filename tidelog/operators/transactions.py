@@ -21,7 +21,7 @@ def mark(events: DataFrame) -> DataFrame:
     """Adds mark: G announces a GTID, B begins, C commits; null else.
 
     Commits are XID, COMMIT, and a statement that stands alone: a QUERY that is neither BEGIN nor
-    a savepoint, outside an open transaction.
+    a savepoint, outside an open transaction. Events that are neither (rows, maps) may be left out.
     """
     kind = query_kind(F.col("query.query"))
     own = (
@@ -31,14 +31,10 @@ def mark(events: DataFrame) -> DataFrame:
         .when((F.col("type") == QUERY) & (kind == "commit"), "C")
         .when((F.col("type") == QUERY) & (kind == "other"), "Q")
     )
-    marked = events.withColumn("_m", own)
-    few = marked.where("_m is not null").select("log_file", "start_pos", F.col("_m"))
     # a statement stands alone if the last border before it is not a BEGIN
-    state = as_of(few.withColumn("_all", F.lit(1)), F.col("_m").isin("B", "C", "G"), F.col("_m"), key="_all", order="start_pos", name="_state").select(
-        F.col("log_file").alias("_f"), F.col("start_pos").alias("_p"), "_state"
-    )
-    joined = marked.join(state, (F.col("log_file") == F.col("_f")) & (F.col("start_pos") == F.col("_p")), "left")
-    return joined.withColumn("mark", F.when(F.col("_m") != "Q", F.col("_m")).when((F.col("_m") == "Q") & ~F.col("_state").eqNullSafe("B"), F.lit("C"))).drop("_m", "_f", "_p", "_state")
+    border = F.col("_m").isin("B", "C", "G")
+    state = as_of(events.withColumn("_m", own).withColumn("_all", F.lit(1)), border, F.col("_m"), key="_all", order="start_pos", name="_state")
+    return state.withColumn("mark", F.when(F.col("_m") != "Q", F.col("_m")).when((F.col("_m") == "Q") & ~F.col("_state").eqNullSafe("B"), F.lit("C"))).drop("_m", "_all", "_state")
 
 
 def commits(marked: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from ..operators import rows as R
 from ..operators import statements as S
 from ..operators import transactions as TX
 from ..types import CODES, RAW
-from .changes import ordered, statements
+from .changes import ordered, read_log, row_changes, statements
 
 QUERIES, ORACLES = {}, {}
 
@@ -407,7 +407,7 @@ MONEY = "(round(o_totalprice * 100)::BIGINT // 100)::VARCHAR || '.' || lpad((rou
 
 @query(f"SELECT o_orderkey::VARCHAR AS key, o_custkey::VARCHAR AS cust, {MONEY} AS price, o_orderstatus AS status FROM orders")
 def rows_decode(spark, d):  # D8 to D17, J1
-    found = R.changes(H.events(raw_log(spark, d)))
+    found = row_changes(raw_log(spark, d))
     return found.select(*[F.col("after")[k]["as_string"].alias(n) for k, n in enumerate(("key", "cust", "price", "status"))])
 
 
@@ -419,7 +419,7 @@ def log_to_sql(spark, d):  # the whole plan: D1 to D17, J1 to J3, Q1 to Q11
 
 @query("SELECT 's0' AS sid, min(o_orderkey + 1) AS first, max(o_orderkey + 1) AS last, count(*) AS n FROM orders")
 def log_executed_set(spark, d):  # T1, T2, D12, D13, G7 on binary events
-    found = TX.commits(TX.mark(H.events(raw_log(spark, d))))
+    found = TX.commits(read_log(raw_log(spark, d))[0])
     n = F.substring_index("gtid", ":", -1).cast("long")
     return found.agg(F.lit("s0").alias("sid"), F.min(n).alias("first"), F.max(n).alias("last"), F.count("*").alias("n"))
 

@@ -5,22 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.header import events as read_events
+from ..operators.header import fixed_payloads, formats, with_header, with_payload
 from ..operators.rows import changes
 from ..operators.statements import assemble, event_statements, row_statements
 from ..operators.transactions import mark
+from ..store import stored
+from ..types import ROWS
+
+
+def read_log(raw: DataFrame, keep=stored) -> tuple[DataFrame, DataFrame]:
+    """(events, rows): all events but rows events, read and marked, and the rows events with their payloads.
+
+    The log is read twice in all: once for the small events, which are kept (``stored``; a stream
+    persists them) as several steps look at them, and once for the rows, whose payloads are never
+    kept or shuffled.
+    """
+    headed = with_header(raw)
+    of_rows = F.col("type").isin(*ROWS)
+    small = keep(headed.where(~of_rows))
+    known = formats(small)
+    return keep(mark(fixed_payloads(with_payload(small, known)))), with_payload(headed.where(of_rows), known)
+
+
+def row_changes(raw: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
+    """Every changed row of a raw log, as in ``operators.rows.changes``."""
+    events, rows = read_log(raw)
+    return changes(events, catalog, rows)
 
 
 def statements(raw: DataFrame, catalog: DataFrame | None = None, include_gtid: bool = True, include_coords: bool = True, dedupe_begin: bool = True) -> DataFrame:
     """(seq, row_idx, log_file, start_pos, sql) of a raw log; order by (seq, row_idx) to replay."""
-    events = read_events(raw)
-    return of_events(events, mark(events), catalog, include_gtid, include_coords, dedupe_begin)
+    return of_events(*read_log(raw), catalog, include_gtid, include_coords, dedupe_begin)
 
 
-def of_events(events: DataFrame, marked: DataFrame, catalog: DataFrame | None = None, include_gtid: bool = True, include_coords: bool = True, dedupe_begin: bool = True) -> DataFrame:
-    """``statements`` of events that are read and marked already; a stream keeps one table as both."""
-    rows = row_statements(changes(events, catalog))
-    return assemble(event_statements(marked, include_gtid, dedupe_begin), rows, include_coords)
+def of_events(events: DataFrame, rows: DataFrame, catalog: DataFrame | None = None, include_gtid: bool = True, include_coords: bool = True, dedupe_begin: bool = True) -> DataFrame:
+    """``statements`` of a log that ``read_log`` has read."""
+    made = row_statements(changes(events, catalog, rows))
+    return assemble(event_statements(events, include_gtid, dedupe_begin), made, include_coords)
 
 
 def ordered(statements_: DataFrame) -> DataFrame:
