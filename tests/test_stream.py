@@ -10,7 +10,9 @@ from tidelog import types as T
 from tidelog.cli import parse
 from tidelog.config import Config, start_position
 from tidelog.logs import hex_dump, parse_category
-from tidelog.plans.changes import statements
+from tidelog.operators.order import with_dense_sequence
+from tidelog.operators.transactions import commits
+from tidelog.plans.changes import read_log, statements
 from tidelog.sinks.sql import Checkpoint, SqlSink, load_checkpoint, store_checkpoint, write_text
 from tidelog.sources import binlog, wire
 from tidelog.streaming.ha import Lease
@@ -95,6 +97,49 @@ def test_stream_equals_batch_and_resumes(spark, logs, tmp_path, batch):
     assert point.gtid_set == "01020304-0506-0708-0900-010203040506:1-11"
 
 
+def test_executed_transactions_are_left_out(spark, logs):
+    folder, rows = logs
+    binlog.register(spark)
+    read = lambda **o: [(r.log_file, r.start_pos) for r in spark.read.format("binlog").options(path=str(folder), **o).load().collect()]
+    sid = "01020304-0506-0708-0900-010203040506"
+    left = read(startGtid=f"{sid}:1-6:8, {sid.upper()}:9-9:10-11,x:1")
+    starts = [k for k, (_, _, b) in enumerate(rows) if b[4] == 33]
+    want = [*rows[: starts[0]], *rows[starts[6] : starts[7]]]
+    assert sorted(left) == sorted((f, p) for f, p, _ in want)
+    inside = rows[starts[6] + 2]  # a start inside a transaction that is left out
+    assert (inside[0], inside[1]) not in read(startFile=inside[0], startPos=str(inside[1]), startGtid=f"{sid}:7")
+    assert binlog.Executed("a:5-9:1-20:30").spans["a"] == [(1, 20), (5, 20), (30, 30)]
+
+
+def test_a_repeated_batch_goes_on_where_it_stopped(spark, tmp_path, logs):
+    got, state = [], str(tmp_path / "state")
+
+    def fails_once(sql):
+        if len(got) == 7 and not state_of["failed"]:
+            state_of["failed"] = True
+            raise RuntimeError("the sink is full")
+        got.append(sql)
+
+    state_of = {"failed": False}
+    folder, rows = logs
+    config = Config(log_dir=str(folder), checkpoint_file=str(tmp_path / "cp"), start_file="mysql-bin.000001")
+    with pytest.raises(Exception, match="full"):
+        start(spark, config, SqlSink(None, fails_once), state, available_now=True).awaitTermination()
+    start(spark, config, SqlSink(None, fails_once), state, available_now=True).awaitTermination()
+    assert got == texts(statements(spark.createDataFrame([(f, p, bytearray(b)) for f, p, b in rows], T.RAW)))
+
+
+def test_files_are_ordered_by_number(spark):
+    a = E.log([(33, E.gtid(UUID, 1)), (2, E.query("BEGIN")), (19, E.table_map(9, "test", "items", [("LONG", b"")]))], "mysql-bin.999999")
+    b = E.log([(30, E.rows(9, 1, [E.image([struct.pack("<i", 5)])], version=2)), (16, struct.pack("<Q", 1))], "mysql-bin.1000000")
+    raw = spark.createDataFrame([(f, p, bytearray(x)) for f, p, x in a + b], T.RAW)
+    events, _ = read_log(raw)
+    assert [r.gtid[-2:] for r in commits(events).collect()] == [":1"]
+    assert [s for s in texts(statements(raw, include_coords=False)) if "INSERT" in s] == ["INSERT INTO `test`.`items` (`col1`) VALUES (5);\n"]
+    order = with_dense_sequence(raw.select("log_file", "start_pos")).orderBy("seq_no").collect()
+    assert [r.log_file[-2:] for r in order] == ["99"] * 3 + ["00"] * 2
+
+
 def test_run_needs_a_start_and_stops(spark, logs, tmp_path):
     config = Config(log_dir=str(logs[0]), checkpoint_file=str(tmp_path / "cp"))
     assert run(spark, config, [].append) == 1
@@ -157,6 +202,14 @@ def test_lease(tmp_path):
     assert not Lease("", "x").acquire()
 
 
+def test_a_lease_that_went_stale_is_lost(tmp_path):
+    now = [100.0]
+    a, b = (Lease(str(tmp_path / "lease"), n, 15, lambda: now[0]) for n in "ab")
+    assert a.try_take() and a.beat()
+    now[0] += 16  # a stalls: whether or not b took over meanwhile, a must not go on
+    assert not a.beat() and b.try_take() and not a.beat() and b.beat() and b.read()[0] == "b"
+
+
 def test_command_line():
     c = parse("--user u --password p --port 1 --start-binlog f.000001 --start-pos 9 --no-gtid --no-binlog-coords --ssl -vv --log-category parser --ha-timeout 3".split())
     assert (c.port, c.start_file, c.start_pos, c.include_gtid, c.include_coords, c.use_tls, c.verbosity, c.categories, c.ha_timeout) == (1, "f.000001", 9, False, False, True, "trace", ("parser",), 3)

@@ -62,10 +62,14 @@ class SqlSink:
 
     path: str | None = None
     callback: Callable[[str], None] | None = None
+    #: Place of the last statement that was emitted.
+    last: tuple[int, int] | None = None
 
-    def write(self, statements: DataFrame) -> int:
-        """Emits statements in order of (seq, row_idx), and returns their number."""
+    def write(self, statements: DataFrame, after: tuple[int, int] | None = None) -> int:
+        """Emits statements in order of (seq, row_idx), those beyond ``after`` only, and returns their number."""
         n, out = 0, None
+        if after:
+            statements = statements.where((F.col("seq") > after[0]) | (F.col("seq") == after[0]) & (F.col("row_idx") > after[1]))
         if self.path == "-":
             out = sys.stdout
         elif self.path:
@@ -77,6 +81,7 @@ class SqlSink:
                     out.flush()
                 if self.callback:
                     self.callback(row.sql)
+                self.last = (row.seq, row.row_idx)
                 n += 1
         finally:
             if out and out is not sys.stdout:
@@ -85,7 +90,7 @@ class SqlSink:
 
     @staticmethod
     def rows(statements: DataFrame) -> Iterator:
-        return statements.orderBy("seq", "row_idx").select("seq", "sql").toLocalIterator(prefetchPartitions=True)
+        return statements.orderBy("seq", "row_idx").select("seq", "row_idx", "sql").toLocalIterator(prefetchPartitions=True)
 
 
 def write_text(statements: DataFrame, path: str) -> None:

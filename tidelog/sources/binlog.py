@@ -4,9 +4,11 @@
     spark.read.format("binlog").option("path", folder).load()
     spark.readStream.format("binlog").option("path", folder).option("maxEventsPerBatch", 10000).load()
 
-Options: path (a folder, or a file), startFile and startPos (where to begin), maxEventsPerBatch
-(admission for streams). Rows: log_file, start_pos, body. ``read_files`` reads the same through
-Spark's own file readers, from any store.
+Options: path (a folder, or a file), startFile and startPos (where to begin), startGtid (a GTID set
+that is applied already: its transactions are left out), maxEventsPerBatch (admission for streams).
+Rows: log_file, start_pos, body. The folder is opened by path on the driver and on executors, so on
+a cluster it is a mount that all have; ``read_files`` reads the same through Spark's own file
+readers, from any store.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from __future__ import annotations
 import os
 import re
 import struct
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, InputPartition
 
-from ..types import HEADER, RAW
+from ..types import ANONYMOUS_GTID, FORMAT_DESCRIPTION, GTID, HEADER, PREVIOUS_GTIDS, RAW, ROTATE
 
 MAGIC = b"\xfebin"
 START = 4
@@ -70,22 +74,62 @@ def scan_end(file: str, start: int, most: int) -> tuple[int, int]:
     return at, n
 
 
+class Executed:
+    """A GTID set that can be asked for a transaction; section and interval syntax as in ``operators.gtid``."""
+
+    def __init__(self, text: str):
+        self.spans: dict[str, list[tuple[int, int]]] = defaultdict(list)
+        for section in text.split(","):
+            sid, *intervals = section.strip().split(":")
+            for part in intervals:
+                first, _, last = part.partition("-")
+                if first.isdigit() and (not last or last.isdigit()):
+                    self.spans[sid.replace("-", "").lower()].append((int(first), int(last or first) or int(first)))
+        for spans in self.spans.values():
+            spans.sort()
+            reach = 0
+            for k, (first, last) in enumerate(spans):  # ends that grow, so that one look decides
+                reach = max(reach, last)
+                spans[k] = (first, reach)
+
+    def __contains__(self, payload: bytes) -> bool:
+        """Whether a GTID event's transaction is in the set."""
+        spans, number = self.spans.get(payload[1:17].hex(), []), int.from_bytes(payload[17:25], "little")
+        at = bisect_right(spans, (number, 1 << 64)) - 1
+        return at >= 0 and spans[at][1] >= number
+
+
+#: What ends a transaction that is left out: the next one, or an event that belongs to none.
+_BORDERS = (ANONYMOUS_GTID, ROTATE, FORMAT_DESCRIPTION, PREVIOUS_GTIDS)
+
+
 class Span(InputPartition):
     """Events of one file between two positions."""
 
-    def __init__(self, file: str, name: str, start: int, end: int | None):
-        self.file, self.name, self.start, self.end = file, name, start, end
+    def __init__(self, file: str, name: str, start: int, end: int | None, executed: str = ""):
+        self.file, self.name, self.start, self.end, self.executed = file, name, start, end, executed
 
 
 def _rows(span: Span) -> Iterator[tuple]:
-    for at, body in read_events(span.file, span.start, span.end):
-        yield span.name, at, body
+    if not span.executed:
+        for at, body in read_events(span.file, span.start, span.end):
+            yield span.name, at, body
+        return
+    done, skip = Executed(span.executed), False
+    for at, body in read_events(span.file, START, span.end):  # from the head: a span may begin inside a transaction
+        if body[4] == GTID:
+            skip = body[HEADER:] in done
+        elif body[4] in _BORDERS:
+            skip = False
+        if at >= span.start and not skip:
+            yield span.name, at, body
 
 
 class BinlogReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.first, self.at = options["path"], options.get("startfile"), int(options.get("startpos", START))
         self.only: str | None = None
+        self.executed = options.get("startgtid") or ""
 
     def pushFilters(self, filters: list) -> Iterator:
         """A condition log_file = x leaves the other files unread."""
@@ -101,7 +145,7 @@ class BinlogReader(DataSourceReader):
                 raise ValueError(f"there is no log file {self.first} in {self.path}")
             names = names[names.index(self.first) :]
         kept = [n for n in names if self.only in (None, n)]
-        return [Span(locate(self.path, n), n, self.at if n == self.first else START, None) for n in kept] or [Span("", "", 0, 0)]
+        return [Span(locate(self.path, n), n, self.at if n == self.first else START, None, self.executed) for n in kept] or [Span("", "", 0, 0)]
 
     def read(self, partition: Span) -> Iterator[tuple]:
         return _rows(partition) if partition.file else iter(())
@@ -114,6 +158,7 @@ class BinlogStreamReader(DataSourceStreamReader):
         self.path, self.most = options["path"], int(options.get("maxeventsperbatch", 100_000))
         self.first, self.at = options.get("startfile"), int(options.get("startpos", START))
         self.reached: dict | None = None
+        self.executed = options.get("startgtid") or ""
 
     def initialOffset(self) -> dict:
         names = log_files(self.path)
@@ -142,7 +187,7 @@ class BinlogStreamReader(DataSourceStreamReader):
             if inside:
                 a, b = (start["pos"] if name == start["file"] else START), (end["pos"] if name == end["file"] else None)
                 if b is None or b > a:
-                    out.append(Span(locate(self.path, name), name, a, b))
+                    out.append(Span(locate(self.path, name), name, a, b, self.executed))
             if name == end["file"]:
                 break
         return out
@@ -181,7 +226,7 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = content.as_py()
+                data = memoryview(content.as_buffer()).cast("B")  # the batch's own bytes, not a copy
                 if data[:4] != MAGIC:
                     raise ValueError(f"{name} is no log file")
                 at, out, size = START, [], 0
@@ -189,7 +234,7 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
                     length = struct.unpack_from("<I", data, at + 9)[0]
                     if length < HEADER or at + length > len(data):
                         break
-                    out.append((name, at, data[at : at + length]))
+                    out.append((name, at, bytes(data[at : at + length])))
                     at, size = at + length, size + length
                     if size > 8 << 20:
                         yield _batch(out)

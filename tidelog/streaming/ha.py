@@ -36,18 +36,24 @@ class Lease:
             f.write(f"{self.node} {self.clock()}")
         os.replace(beside, self.path)
 
-    def try_take(self) -> bool:
-        """Takes a lease that is free, stale or ours."""
+    def _locked(self) -> bool:
+        """Creates the lock file; False if another node holds it. One left by a node that died is removed after the timeout."""
         lock = f"{self.path}.lock"
         try:
             os.close(os.open(lock, os.O_CREAT | os.O_EXCL))
+            return True
         except FileExistsError:
-            try:  # left by a node that died in between
+            try:
                 if self.clock() - os.path.getmtime(lock) > self.timeout:
                     os.unlink(lock)
             except FileNotFoundError:
                 pass
             return False
+
+    def try_take(self) -> bool:
+        """Takes a lease that is free, stale or ours."""
+        if not self._locked():
+            return False
         try:
             held = self.read()
             if held and held[0] != self.node and self.clock() - held[1] < self.timeout:
@@ -55,7 +61,21 @@ class Lease:
             self._write()
             return True
         finally:
-            os.unlink(lock)
+            os.unlink(f"{self.path}.lock")
+
+    def beat(self) -> bool:
+        """Keeps the lease fresh; False if it is another's, or ours but older than the timeout, so that another may have begun."""
+        if not self._locked():
+            held = self.read()
+            return bool(held) and held[0] == self.node and self.clock() - held[1] < self.timeout
+        try:
+            held = self.read()
+            if not held or held[0] != self.node or self.clock() - held[1] >= self.timeout:
+                return False
+            self._write()
+            return True
+        finally:
+            os.unlink(f"{self.path}.lock")
 
     def acquire(self, stop: Callable[[], bool] = lambda: False, wait: float = 1.0) -> bool:
         """Waits for the lease, then keeps it fresh; False if stopped or not enabled."""
@@ -68,12 +88,10 @@ class Lease:
         return False
 
     def _keep(self) -> None:
-        while not self._stop.wait(self.timeout / 2):
-            held = self.read()
-            if held and held[0] != self.node:
+        while not self._stop.wait(self.timeout / 3):
+            if not self.beat():
                 self.lost.set()
                 return
-            self._write()
 
     def release(self) -> None:
         self._stop.set()

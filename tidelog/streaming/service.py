@@ -4,13 +4,17 @@ Each micro-batch runs the batch plan over its events together with a few *carrie
 file the last format description, of each table id the last map, DDL since the oldest of these,
 and the open transaction's GTID and BEGIN. What the carried events say again is cut off by place.
 The carried events are a table of their own, written for each batch; the checkpoint is stored
-after the sink has everything, so a fault repeats a batch and never skips one.
+after the sink has everything, so a fault repeats a batch and never skips one. What a batch had
+emitted before a fault is noted by place, and the repeated batch goes on behind it; only where the
+process itself dies between a statement and the note are statements emitted twice.
+
+The state lies in ``state_dir``, which executors write to: on a cluster, a folder in a shared store.
 """
 
 from __future__ import annotations
 
+import json
 import os
-import shutil
 import threading
 from collections.abc import Callable
 
@@ -19,16 +23,18 @@ from pyspark.sql import functions as F
 
 from ..config import Config, start_position
 from ..functions.binary import le_uint
-from ..functions.text import ddl_targets, escape_ansi  # noqa: F401  escape_ansi is part of the API
+from ..functions.text import ddl_targets
 from ..logs import logger, set_up
 from ..operators.gtid import explode_set, serialise
-from ..operators.header import events as read_events
-from ..operators.header import sequence_key
-from ..operators.rows import previous_gtids
-from ..operators.transactions import durable_points, executed, mark
-from ..plans.changes import of_events
+from ..operators.header import counters, sequence_key
+from ..operators.metadata import ddl_places
+from ..operators.order import by_file
+from ..operators.rows import previous_gtids, table_maps
+from ..operators.transactions import durable_points, executed
+from ..plans.changes import of_events, read_log
 from ..sinks.sql import Checkpoint, SqlSink, load_checkpoint, store_checkpoint
 from ..sources.binlog import register
+from ..store import children, remove
 from ..types import FORMAT_DESCRIPTION, QUERY, RAW, TABLE_MAP
 from .ha import Lease
 
@@ -49,47 +55,100 @@ def carried(raw: DataFrame, marked: DataFrame) -> DataFrame:
     return raw.join(places, ["log_file", "start_pos"], "left_semi").select("log_file", "start_pos", "body").distinct()
 
 
+Lookup = Callable[[list[tuple[str, str]]], list[tuple]]
+
+
 class Pipeline:
-    """What ``foreachBatch`` calls; keeps its state under ``state_dir``."""
+    """What ``foreachBatch`` calls; keeps its state under ``state_dir``.
+
+    lookup: asks the server for the columns of (schema, table) pairs, as rows of a catalog; asked
+    once for each table, and again after DDL on it. Without one ``catalog`` is used.
+    """
 
-    def __init__(self, config: Config, sink: SqlSink, state_dir: str, catalog: DataFrame | None = None, gtid_set: str | None = None):
-        self.config, self.sink, self.state_dir, self.catalog, self.gtid_set = config, sink, state_dir, catalog, gtid_set
+    def __init__(self, config: Config, sink: SqlSink, state_dir: str, catalog: DataFrame | None = None, gtid_set: str | None = None, lookup: Lookup | None = None):
+        self.config, self.sink, self.state_dir, self.catalog, self.gtid_set, self.lookup = config, sink, state_dir, catalog, gtid_set, lookup
+        self.known: dict[tuple[str, str], list[tuple]] = {}
+        self.counted = {"packets": 0, "parse_errors": 0, "crc_mismatches": 0, "statements": 0}
 
     def _state(self, batch_id: int) -> str:
-        return os.path.join(self.state_dir, f"carried-{batch_id}")
+        return f"{self.state_dir}/carried-{batch_id}"
 
     def run(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         c = self.config
-        fresh = batch.select(*[f.split()[0] for f in RAW.split(", ")]).persist()
-        held = [fresh]
+        held: list[DataFrame] = []
+
+        def keep(df: DataFrame) -> DataFrame:  # a batch is bounded, so memory and disk of the executors hold it
+            held.append(df.persist())
+            return held[-1]
+
+        fresh = keep(batch.select(*[f.split()[0] for f in RAW.split(", ")]))
         try:
             first = fresh.agg(F.min(sequence_key(F.col("log_file"), F.col("start_pos"))).alias("s")).first()["s"]
             if first is None:
                 return
-            before = sorted((int(n.rpartition("-")[2]) for n in os.listdir(self.state_dir) if n.startswith("carried-")), reverse=True) if os.path.isdir(self.state_dir) else []
+            before = sorted((int(n.rpartition("-")[2]) for n in children(spark, self.state_dir) if n.startswith("carried-")), reverse=True)
             known = next((k for k in before if k < batch_id), None)
-            raw = fresh if known is None else fresh.unionByName(spark.read.parquet(self._state(known)))
-            # read and marked once for the statements, the durable point and what is carried on; a batch is bounded
-            marked = mark(read_events(raw)).persist()
-            held.append(marked)
-            out = of_events(marked, marked, self.catalog, c.include_gtid, c.include_coords, c.dedupe_begin).where(F.col("seq") >= first).persist()
-            held.append(out)
-            n = self.sink.write(out)
-            logger("output").debug("batch %d: %d statements", batch_id, n)
-            self._store(marked, first, batch_id)
-            carried(raw, marked).coalesce(1).write.mode("overwrite").parquet(self._state(batch_id))
+            raw = fresh if known is None else fresh.unionByName(spark.read.schema(RAW).parquet(self._state(known)))
+            events, rows = read_log(raw, keep)
+            out = keep(of_events(events, rows, self._names(events), c.include_gtid, c.include_coords, c.dedupe_begin).where(F.col("seq") >= first))
+            n = self._emit(out, batch_id)
+            self._count(fresh, n, batch_id)
+            self._store(events, first, batch_id)
+            carried(raw, events).coalesce(1).write.mode("overwrite").parquet(self._state(batch_id))
             for k in before:
                 if k < batch_id - 1:  # the last one stays, should this batch be repeated
-                    shutil.rmtree(self._state(k), ignore_errors=True)
+                    remove(spark, self._state(k))
         finally:
             for table in reversed(held):
                 table.unpersist()
 
+    def _emit(self, out: DataFrame, batch_id: int) -> int:
+        """K2: to the sink, behind what a failed run of the same batch had emitted."""
+        path = f"{self.config.checkpoint_file}.emitted"
+        try:
+            with open(path) as f:
+                note = json.load(f)
+        except (FileNotFoundError, ValueError):
+            note = {}
+        self.sink.last = after = tuple(note["last"]) if note.get("batch") == batch_id and note.get("last") else None
+        try:
+            return self.sink.write(out, after)
+        finally:
+            with open(f"{path}.tmp", "w") as f:
+                json.dump({"batch": batch_id, "last": self.sink.last}, f)
+            os.replace(f"{path}.tmp", path)
+
+    def _count(self, fresh: DataFrame, statements: int, batch_id: int) -> None:
+        """Totals of the run; events that cannot be read are counted and logged, never fatal."""
+        now = counters(fresh).first().asDict() | {"statements": statements}
+        for name, n in now.items():
+            self.counted[name] += n
+        logger("output").debug("batch %d: %d statements", batch_id, statements)
+        if now["parse_errors"] or now["crc_mismatches"]:
+            logger("parser").warning("batch %d: %d events cannot be read, %d checksums do not match", batch_id, now["parse_errors"], now["crc_mismatches"])
+
+    def _names(self, events: DataFrame) -> DataFrame | None:
+        """The catalog, or what the server says of the tables in this batch; a fault leaves colN."""
+        if self.lookup is None:
+            return self.catalog
+        changed = {(r["schema"], r["table"]) for r in ddl_places(events).select("schema", "table").distinct().collect()}
+        self.known = {k: v for k, v in self.known.items() if k not in changed}
+        used = [tuple(r) for r in table_maps(events).where("error is null").select("schema", "table").distinct().collect()]
+        missing = [t for t in used if t not in self.known]
+        try:
+            found = self.lookup(missing) if missing else []
+        except Exception as e:  # noqa: BLE001  names are a help, the log is what counts
+            logger("metadata").warning("no column names: %s", e)
+            found = []
+        for schema, table, column, ordinal, key in found:
+            self.known.setdefault((schema, table), []).append((schema, table, column, int(ordinal), key or ""))
+        return events.sparkSession.createDataFrame([r for t in used for r in self.known.get(t, [])], "schema string, table string, column string, ordinal int, column_key string")
+
     def _store(self, marked: DataFrame, first: int, batch_id: int) -> None:
         """The end of the last commit of this batch and the executed set."""
         spark, point = marked.sparkSession, load_checkpoint(self.config.checkpoint_file)
-        ends = durable_points(marked.where(F.col("seq") >= first)).orderBy(F.desc("log_file")).limit(1).collect()
+        ends = durable_points(marked.where(F.col("seq") >= first)).orderBy(*[c.desc() for c in by_file("log_file")]).limit(1).collect()
         if not ends:
             return
         text = (point.gtid_set if point else None) or self.gtid_set or ""
@@ -99,18 +158,18 @@ class Pipeline:
         logger("checkpoint").debug("batch %d: %s", batch_id, ends[0])
 
 
-def start(spark: SparkSession, config: Config, sink: SqlSink, state_dir: str, available_now: bool = False, catalog: DataFrame | None = None):
+def start(spark: SparkSession, config: Config, sink: SqlSink, state_dir: str, available_now: bool = False, catalog: DataFrame | None = None, lookup: Lookup | None = None):
     """Starts the stream over ``config.log_dir``, and returns the running query."""
     register(spark)
     place = start_position(config, load_checkpoint(config.checkpoint_file))
     options = {"path": config.log_dir, "maxEventsPerBatch": str(config.events_per_batch)}
     if place["file"]:
         options |= {"startFile": place["file"], "startPos": str(place["pos"])}
-    os.makedirs(state_dir, exist_ok=True)
-    pipeline = Pipeline(config, sink, os.path.join(state_dir, "carried"), catalog, place["gtid_set"])
-    os.makedirs(pipeline.state_dir, exist_ok=True)
+    if place["gtid_set"]:
+        options["startGtid"] = place["gtid_set"]
+    pipeline = Pipeline(config, sink, f"{state_dir}/carried", catalog, place["gtid_set"], lookup)
     writer = spark.readStream.format("binlog").options(**options).load().writeStream.foreachBatch(pipeline.run)
-    writer = writer.option("checkpointLocation", os.path.join(state_dir, "offsets"))
+    writer = writer.option("checkpointLocation", f"{state_dir}/offsets")
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 second")).start()
 
 
@@ -133,14 +192,16 @@ def run(spark: SparkSession, config: Config, sink: SqlSink | Callable[[str], Non
     if lease.enabled and not lease.acquire(stop.is_set):
         return 0
     fault: list[BaseException] = []
+    lookup = None
     try:
         if config.log_dir is None:
+            lookup = None if config.catalog else lambda tables: _columns(config, tables)
             config.log_dir = os.path.join(state_dir, "log")
             threading.Thread(target=_dump, args=(config, place, stop, fault), daemon=True).start()
             while not (stop.is_set() or fault or os.path.isdir(config.log_dir) and os.listdir(config.log_dir)):
                 stop.wait(0.2)
         catalog = spark.read.parquet(config.catalog) if config.catalog else None
-        query = start(spark, config, sink, state_dir, catalog=catalog)
+        query = start(spark, config, sink, state_dir, catalog=catalog, lookup=lookup)
         while query.isActive and not stop.wait(0.2) and not lease.lost.is_set() and not fault:
             pass
         failed = query.exception()
@@ -153,6 +214,14 @@ def run(spark: SparkSession, config: Config, sink: SqlSink | Callable[[str], Non
         lease.release()
 
 
+def _columns(config: Config, tables: list[tuple[str, str]]) -> list[tuple]:
+    """Columns of tables by a connection of its own, in the form of ``metadata.catalog_columns``."""
+    from ..sources.wire import Connection, columns_query, escape
+
+    with Connection(config.host, config.port, config.user, config.password, config.io_timeout_ms / 1000, config.use_tls) as link:
+        return link.query(columns_query(tables, escape))
+
+
 def _dump(config: Config, place: dict, stop: threading.Event, fault: list) -> None:
     from ..sources.wire import Connection, dump_to_files
 
