@@ -5,7 +5,7 @@ import os
 
 import duckdb
 import pytest
-from tidelog.plans import catalogue
+from tidelog.plans import catalogue, log_queries  # noqa: F401  the latter adds its queries
 
 
 def plain(v):
@@ -27,9 +27,6 @@ def test_query(spark, sf_dir, duck, name):
     df = catalogue.QUERIES[name](spark, sf_dir)
     columns = sorted(df.columns)
     got = sorted((tuple(plain(v) for v in r) for r in df.select(*columns).collect()), key=repr)
-    if name == "crc_check":
-        assert all(a == b for a, _, b in got) and got
-        return
     made = duck.execute(catalogue.ORACLES[name])
     at = [[d[0] for d in made.description].index(c) for c in columns]
     assert got == sorted((tuple(plain(r[k]) for k in at) for r in made.fetchall()), key=repr)
