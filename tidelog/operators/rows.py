@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -13,7 +13,6 @@ from pyspark.sql.types import StructType
 from ..functions.binary import le_uint
 from ..types import CHANGES, COLUMN, DELETES, MAPS, PREVIOUS_GTIDS, ROWS, TABLE_MAP, UPDATES
 from . import decoder
-from .header import sequence_key
 from .metadata import ddl_places, timeline, with_names
 
 #: Rows of one event that go into one batch at most.
@@ -24,15 +23,16 @@ def _arrow(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 
 
-def table_maps(events: DataFrame) -> DataFrame:
-    """Every TABLE_MAP; one that cannot be decoded has an error and no columns."""
-    schema = _arrow(MAPS)
+def table_maps(events: DataFrame, *more: str) -> DataFrame:
+    """Every TABLE_MAP; one that cannot be decoded has an error and no columns. ``more``: columns of text to keep."""
+    ddl = MAPS + "".join(f", {c} string" for c in more)
+    schema = _arrow(ddl)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for log_file, start_pos, payload in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                row = {"log_file": log_file, "start_pos": start_pos, "error": None}
+            for log_file, start_pos, payload, *kept in zip(*(column.to_pylist() for column in batch.columns)):
+                row = {"log_file": log_file, "start_pos": start_pos, "error": None} | dict(zip(more, kept))
                 try:
                     row |= decoder.table_map(payload)
                 except decoder.DecodeError as e:
@@ -40,7 +40,7 @@ def table_maps(events: DataFrame) -> DataFrame:
                 out.append(row)
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
-    return events.where(F.col("type") == TABLE_MAP).select("log_file", "start_pos", "payload").mapInArrow(work, MAPS)
+    return events.where(F.col("type") == TABLE_MAP).select("log_file", "start_pos", "payload", *more).mapInArrow(work, ddl)
 
 
 def previous_gtids(events: DataFrame) -> DataFrame:
@@ -61,16 +61,30 @@ def previous_gtids(events: DataFrame) -> DataFrame:
     return events.where(F.col("type") == PREVIOUS_GTIDS).select("payload").mapInArrow(work, ddl)
 
 
-def bound_rows(events: DataFrame, catalog: DataFrame | None = None, rows: DataFrame | None = None) -> DataFrame:
+def bound_rows(events: DataFrame, catalog: DataFrame | None = None, rows: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Rows events with the table map in force when they were written (null if there is none).
 
     rows: the rows events, if ``events`` does not hold them. Their payloads meet a table of a few
-    states for each table id, which the engine sends to them where it is small.
+    states for each table id; if ``keep`` makes that table first, the engine knows its size, and
+    sends it to the rows where it is small instead of dealing them out by table id.
     """
-    maps = table_maps(events).where("error is null")
-    value = F.struct("schema", "table", "columns").alias("map")
-    named = with_names(maps, catalog).select("log_file", sequence_key(F.col("log_file"), F.col("start_pos")).alias("seq"), "table_id", value)
-    states = timeline(named, ddl_places(events)).withColumnRenamed("table_id", "_id")
+    said = events.where(F.col("type") == TABLE_MAP).select("log_file", "start_pos", "seq", "type", "payload", le_uint(F.col("payload"), 0, 6).alias("table_id"), F.md5("payload").alias("digest"))
+    # a log repeats its maps: each distinct one is decoded and named once
+    once = said.groupBy("digest").agg(F.min_by(F.struct("log_file", "start_pos", "type", "payload"), "seq").alias("e"))
+    decoded = table_maps(once.select("e.*", "digest"), "digest").where("error is null")
+    known = with_names(decoded, catalog).select("digest", "schema", "table", "columns")
+    maps = said.join(known.select("digest", "schema", "table"), "digest").select("log_file", "seq", "table_id", F.struct("schema", "table", "digest").alias("map"))
+    whole = F.when(F.col("columns").isNotNull(), F.struct("schema", "table", "columns")).alias("map")
+    states = (
+        timeline(maps, ddl_places(events))
+        .select("table_id", "seq", F.col("map.digest").alias("digest"))
+        .join(known, "digest", "left")
+        .groupBy(F.col("table_id").alias("_id"))
+        .agg(F.sort_array(F.collect_list(F.struct("seq", whole))).alias("states"))
+    )
+    if keep:
+        states = keep(states)
+        states.count()
     own = (events if rows is None else rows).where(F.col("type").isin(*ROWS)).withColumn("table_id", le_uint(F.col("payload"), 0, 6))
     before = F.filter("states", lambda s: s["seq"] <= F.col("seq"))
     return own.join(states, own["table_id"] == states["_id"], "left").withColumn("map", F.try_element_at(before, F.lit(-1))["map"]).drop("states", "_id")
@@ -80,8 +94,8 @@ def operation(kind: Column) -> Column:
     return F.when(kind.isin(*UPDATES), "update").when(kind.isin(*DELETES), "delete").otherwise("insert")
 
 
-def changes(events: DataFrame, catalog: DataFrame | None = None, rows: DataFrame | None = None) -> DataFrame:
-    """One row for each changed row, in the order of ``row_idx`` within its event; ``rows`` as in ``bound_rows``.
+def changes(events: DataFrame, catalog: DataFrame | None = None, rows: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """One row for each changed row, in the order of ``row_idx`` within its event; ``rows`` and ``keep`` as in ``bound_rows``.
 
     An event without a table map, or that cannot be decoded, gives one row with an error, and
     no images; rows of it decoded before the fault are dropped, as their end is not certain.
@@ -117,7 +131,7 @@ def changes(events: DataFrame, catalog: DataFrame | None = None, rows: DataFrame
                         out = where, index, before, after, errors = [], [], _Images(), _Images(), []
             yield batch_of(batch, *out)
 
-    bound = bound_rows(events, catalog, rows).select(
+    bound = bound_rows(events, catalog, rows, keep).select(
         "log_file", "start_pos", "table_id", F.col("map.schema").alias("schema"), F.col("map.table").alias("table"),
         operation(F.col("type")).alias("op"), F.col("map.columns").alias("columns"), "type", "payload",
         F.transform("map.columns", lambda c: c["type"].cast("int").bitwiseAND(F.lit(255))).alias("types"), F.col("map.columns.meta").alias("metas"),

@@ -30,7 +30,7 @@ def read_log(raw: DataFrame, keep=stored) -> tuple[DataFrame, DataFrame]:
 def row_changes(raw: DataFrame, catalog: DataFrame | None = None) -> DataFrame:
     """Every changed row of a raw log, as in ``operators.rows.changes``."""
     events, rows = read_log(raw)
-    return changes(events, catalog, rows)
+    return changes(events, catalog, rows, stored)
 
 
 def statements(raw: DataFrame, catalog: DataFrame | None = None, include_gtid: bool = True, include_coords: bool = True, dedupe_begin: bool = True) -> DataFrame:
@@ -38,9 +38,9 @@ def statements(raw: DataFrame, catalog: DataFrame | None = None, include_gtid: b
     return of_events(*read_log(raw), catalog, include_gtid, include_coords, dedupe_begin)
 
 
-def of_events(events: DataFrame, rows: DataFrame, catalog: DataFrame | None = None, include_gtid: bool = True, include_coords: bool = True, dedupe_begin: bool = True) -> DataFrame:
+def of_events(events: DataFrame, rows: DataFrame, catalog: DataFrame | None = None, include_gtid: bool = True, include_coords: bool = True, dedupe_begin: bool = True, keep=stored) -> DataFrame:
     """``statements`` of a log that ``read_log`` has read."""
-    made = row_statements(changes(events, catalog, rows))
+    made = row_statements(changes(events, catalog, rows, keep))
     return assemble(event_statements(events, include_gtid, dedupe_begin), made, include_coords)
 
 

@@ -37,7 +37,14 @@ def stored(df: DataFrame) -> DataFrame:
     if own not in _swept:
         _swept.add(own)
         atexit.register(remove, spark, own)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_path = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Removes a table that ``stored`` made and nothing reads any more."""
+    remove(table.sparkSession, table.stored_path)
 
 
 def file_system(spark: SparkSession, path: str):

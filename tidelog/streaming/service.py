@@ -91,7 +91,7 @@ class Pipeline:
             known = next((k for k in before if k < batch_id), None)
             raw = fresh if known is None else fresh.unionByName(spark.read.schema(RAW).parquet(self._state(known)))
             events, rows = read_log(raw, keep)
-            out = keep(of_events(events, rows, self._names(events), c.include_gtid, c.include_coords, c.dedupe_begin).where(F.col("seq") >= first))
+            out = keep(of_events(events, rows, self._names(events), c.include_gtid, c.include_coords, c.dedupe_begin, keep).where(F.col("seq") >= first))
             n = self._emit(out, batch_id)
             self._count(fresh, n, batch_id)
             self._store(events, first, batch_id)
