@@ -2,73 +2,21 @@
 
 from __future__ import annotations
 
-import atexit
 import re
 import sys
-import tempfile
-import uuid
 from collections.abc import Callable
 from types import ModuleType
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..store import discard, shared_dir  # noqa: F401  used by the operators
+from ..store import stored as durable  # noqa: F401
+
 #: Words are maximal runs of anything but these six ASCII white-space characters.
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    ``spark.checkpoint.dir`` names it; only where that is unset, and driver and executors are one
-    process (tests, local mode), a temporary folder is made and remembered as the session's
-    checkpoint folder. A cluster without one is an error: executors would not see such a folder.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        holder = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if holder.isDefined():
-            path = holder.get()
-        elif not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        else:
-            folder = tempfile.TemporaryDirectory(prefix="tidelog-")
-            atexit.register(folder.cleanup)
-            path = folder.name
-            spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
-
-
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write ``df`` as Parquet into the shared folder and read it back.
-
-    A lost executor then costs a reread, not a recomputation, and repeated use of the result
-    does not run the expensive part twice. The tables of a session lie in one folder, named by
-    the application's id; ``discard`` removes one, and the session's end all that are left.
-    """
-    spark = df.sparkSession
-    own = f"{shared_dir(spark)}/tidelog/{spark.sparkContext.applicationId}"
-    path = f"{own}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    once_per_process(("sweep", own), lambda: atexit.register(_remove, spark, own))
-    table = spark.read.schema(df.schema).parquet(path)
-    table.durable_path = path
-    return table
-
-
-def discard(table: DataFrame) -> None:
-    """Removes a table that ``durable`` made and nothing reads any more."""
-    _remove(table.sparkSession, table.durable_path)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-    except Exception:  # noqa: BLE001  the engine may be gone; what is left is only disk
-        return
-
-
 def free_name(df: DataFrame, stem: str) -> str:
     """A column name beginning with ``stem`` that ``df`` does not have, in any case of letters."""
     taken = {c.lower() for c in df.columns}
