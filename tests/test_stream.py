@@ -16,7 +16,7 @@ from tidelog.plans.changes import read_log, statements
 from tidelog.sinks.sql import Checkpoint, SqlSink, load_checkpoint, store_checkpoint, write_text
 from tidelog.sources import binlog, wire
 from tidelog.streaming.ha import Lease
-from tidelog.streaming.service import run, start
+from tidelog.streaming.service import Pipeline, run, start
 
 UUID = "01020304050607080900010203040506"
 
@@ -129,6 +129,28 @@ def test_a_repeated_batch_goes_on_where_it_stopped(spark, tmp_path, logs):
     assert got == texts(statements(spark.createDataFrame([(f, p, bytearray(b)) for f, p, b in rows], T.RAW)))
 
 
+def test_column_names_come_from_the_server_once_and_again_after_ddl(spark, tmp_path):
+    asked, got = [], []
+
+    def lookup(tables):
+        asked.append(tables)
+        if len(asked) == 1:
+            raise OSError("not yet")
+        return [("test", "items", "label", "2", None), ("test", "items", "id", "1", "PRI")]
+
+    pipeline = Pipeline(Config(checkpoint_file=str(tmp_path / "cp")), SqlSink(None, got.append), str(tmp_path / "carried"), lookup=lookup)
+    ddl = [(2, E.query("ALTER TABLE items ADD y INT"))]
+    at = 4
+    for k, parts in enumerate([transaction(1), transaction(2), transaction(3), [*ddl, *transaction(4)]]):
+        rows = E.log(parts, start=at)
+        at = rows[-1][1] + len(rows[-1][2])
+        pipeline.run(spark.createDataFrame(rows, T.RAW), k)
+    assert asked == [[("test", "items")]] * 3  # refused, answered, known, and again after the DDL
+    inserts = [s.split("(")[1][:13] for s in got if "INSERT" in s]
+    assert inserts == ["`col1`, `col2"] * 2 + ["`id`, `label`"] * 6
+    assert pipeline.counted["packets"] == 21 and pipeline.counted["parse_errors"] == 0
+
+
 def test_files_are_ordered_by_number(spark):
     a = E.log([(33, E.gtid(UUID, 1)), (2, E.query("BEGIN")), (19, E.table_map(9, "test", "items", [("LONG", b"")]))], "mysql-bin.999999")
     b = E.log([(30, E.rows(9, 1, [E.image([struct.pack("<i", 5)])], version=2)), (16, struct.pack("<Q", 1))], "mysql-bin.1000000")
