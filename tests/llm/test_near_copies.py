@@ -56,3 +56,66 @@ def test_edited_copies_far_apart_in_bits(spark):
     assert max((nd.simhash(rows[0][1].encode()) ^ nd.simhash(t.encode())).bit_count() for _, t in rows[1:41]) > 2
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert got(df) == brute(rows) and sorted(r.doc_id for r in nd.one_of_near_copies(df).collect()) == [0, at]
+
+
+def shared_template(seed, members, copies):
+    """Texts that share a template and are mostly below 0.8 to each other, and a few near copies of some."""
+    rng = random.Random(seed)
+    base = [f"w{k}" for k in range(200)]
+
+    def changed(words, spots):
+        words = list(words)
+        for k in spots:
+            words[k] = f"x{rng.randrange(10**6)}"
+        return words
+
+    texts = [changed(base, rng.sample(range(200), 6)) for _ in range(members)]
+    texts += [changed(texts[rng.randrange(members)], [rng.randrange(200)]) for _ in range(copies)]
+    rng.shuffle(texts)
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def parted(pairs):
+    """Classes as sets of ids."""
+    classes = {}
+    for d, c in pairs:
+        classes.setdefault(c, set()).add(d)
+    return sorted(map(sorted, classes.values()))
+
+
+def test_a_large_bucket_of_mostly_unlike_texts_loses_no_link(spark, monkeypatch):
+    rows = shared_template(7, 80, 40)
+    want = brute(rows)
+    assert 1 < len(parted(want)) < 100
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for cell, block in ((nd.CELL, nd.BLOCK), (2_000, 10)):  # one cell a bucket, then many of few members
+        monkeypatch.setattr(nd, "CELL", cell)
+        monkeypatch.setattr(nd, "BLOCK", block)
+        assert got(df) == want
+
+
+def test_cells_join_what_all_pairs_join():
+    for seed, blocks in ((1, 1), (2, 1), (3, 2)):
+        sets = [nd.shingle_set(t.encode()).view("<i8") for _, t in shared_template(seed, 50, 25)]
+        rng = random.Random(seed)
+        labels, places = nd.np.array([rng.randrange(60) - 30 for _ in sets]), nd.np.array([rng.randrange(blocks) for _ in sets])
+        home = {int(x): int(x) for x in labels}
+
+        def find(x):
+            while home[x] != x:
+                x = home[x]
+            return x
+
+        for i, a in enumerate(sets):
+            for j in range(i):
+                shared = len(nd.np.intersect1d(a, sets[j]))
+                if 9 * shared >= 4 * (len(a) + len(sets[j])) and (blocks == 1 or places[i] != places[j]):
+                    home[find(int(labels[i]))] = find(int(labels[j]))
+        found = nd.cell_links(sets, labels, places)
+        assert len(found) == len(home) - len({find(x) for x in home})  # a forest: each link joins two classes
+        ours = {x: x for x in home}
+        for a, b in found:
+            a, b = (next(c for c in ours if c == x) for x in (a, b))
+            old, new = ours[a], ours[b]
+            ours = {k: new if v == old else v for k, v in ours.items()}
+        assert parted(ours.items()) == parted((x, find(x)) for x in home)

@@ -12,7 +12,9 @@ components are found by minimum-label propagation with pointer jumping over dura
 
 The corpus stage (``near_copies``) links texts whose sets of 5-word shingles have Jaccard
 similarity 0.8 or more, which lie up to some ten bits apart and so outside any ball. Candidates
-share all minima of a band; each candidate pair is verified on the whole sets.
+share all minima of a band; each candidate pair is verified on the whole sets. In a band's bucket a
+member first meets a few others. A bucket whose members these links have all joined is done; in any
+other, members of different components are compared, all with all, in cells of bounded size.
 """
 
 from __future__ import annotations
@@ -34,11 +36,13 @@ _CHUNK = 1 << 15
 #: Near copies: words of a shingle, and the least Jaccard similarity as a fraction. Sixteen bands of
 #: four minima miss a pair at 0.8 with probability (1 - 0.8 ** 4) ** 16 = 0.0002.
 WORDS, LEAST_SHARED, BANDS, MINIMA = 5, (4, 5), 16, 4
-#: A member of a band's bucket is paired with the bucket's first and with so many after itself; each
-#: band has an order of its own, so a large bucket costs its size and not its square.
+#: A member of a band's bucket first meets the bucket's first and so many before itself; each band has
+#: an order of its own, so a large bucket that is one component costs its size and not its square.
 AFTER = 2
 #: Members of a bucket that one task orders, about.
 BLOCK = 10_000
+#: Hashes of one block of a bucket that is still open, about; a cell compares two blocks.
+CELL = 1 << 20
 _ODD, _MIX = (np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * MINIMA), dtype=np.uint64) << np.uint64(1)) + np.uint64(1)
 
 
@@ -158,13 +162,16 @@ def components(links: DataFrame) -> DataFrame:
             return after.select("node", F.col("label").alias("component"))
 
 
-def _classes(nodes: DataFrame, links: DataFrame, key: str) -> DataFrame:
-    """(key, component, component_id): the class of each key and the least ``node`` (a doc_id) in it, null where it has none.
+def _with_component(nodes: DataFrame, reached: DataFrame, key: str) -> DataFrame:
+    """``nodes`` and the component of their ``key``; a key without links is its own."""
+    return nodes.join(reached.withColumnRenamed("node", key), key, "left").withColumn("component", F.coalesce("component", key))
+
+
+def _classes(named: DataFrame, key: str) -> DataFrame:
+    """(key, component, component_id) of (key, node, component): the least ``node`` (a doc_id) of each class, null where it has none.
 
     Links are between keys and not ids, so a text whose ids are all null still connects others.
     """
-    reached = components(links).withColumnRenamed("node", key)
-    named = nodes.select(key, "node").join(reached, key, "left").withColumn("component", F.coalesce("component", key))
     least = named.groupBy("component").agg(F.min("node").alias("component_id"))
     return named.join(least, "component").select(key, "component", "component_id")
 
@@ -173,7 +180,8 @@ def _linked(docs: DataFrame, radius: int, id_col: str = "doc_id", text_col: str
     """(doc_id, k1, k2, fp, component, component_id) of each row."""
     marked = durable(fingerprints(docs, id_col, text_col))
     nodes = durable(marked.groupBy("fp").agg(F.min("doc_id").alias("node")))
-    return marked.join(_classes(nodes, ball_links(nodes, radius).select(F.col("hub").alias("a"), F.col("fp").alias("b")), "fp"), "fp")
+    links = ball_links(nodes, radius).select(F.col("hub").alias("a"), F.col("fp").alias("b"))
+    return marked.join(_classes(_with_component(nodes, components(links), "fp"), "fp"), "fp")
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -276,33 +284,96 @@ def _candidates(members: DataFrame) -> DataFrame:
     return _meetings(placed, "band", "block").unionByName(_meetings(firsts, "band"))
 
 
+def cell_links(sets: list[np.ndarray], labels: np.ndarray, blocks: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of labels that join what similar sets join: a forest, not all pairs.
+
+    Sets of one label are known to be connected. If ``blocks`` differ, only sets of different blocks
+    are compared, as each block has a cell of its own. Of any two sets with different labels one is
+    outside the commonest label, so only those are looked up, in an index of all hashes.
+    """
+    n, some, whole = len(sets), *LEAST_SHARED
+    sizes = np.array([len(h) for h in sets], dtype=np.int64)
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(n), sizes)
+    order = np.argsort(flat, kind="stable")
+    holders, fresh = owner[order], np.ones(len(flat), dtype=bool)
+    fresh[1:] = np.diff(flat[order]) != 0
+    starts = np.flatnonzero(fresh)
+    ends = np.append(starts[1:], len(flat))
+    place = np.empty(len(flat), dtype=np.int64)
+    place[order] = np.cumsum(fresh) - 1
+    first = np.append(0, np.cumsum(sizes))
+    home = np.unique(labels, return_inverse=True)[1]
+    links, apart = [], blocks.min() != blocks.max()
+    for x in np.flatnonzero(home != np.bincount(home).argmax()):
+        at = place[first[x] : first[x + 1]]
+        at = at[ends[at] - starts[at] > 1]
+        shared = np.zeros(n, dtype=np.int64)
+        turns = np.cumsum(ends[at] - starts[at]) // CELL  # a turn looks at so many holders, about
+        for part in np.split(at, np.flatnonzero(np.diff(turns)) + 1):
+            if len(part):
+                shared += np.bincount(np.concatenate([holders[starts[k] : ends[k]] for k in part]), minlength=n)
+        near = (shared * (some + whole) >= some * (sizes + sizes[x])) & (home != home[x])
+        if apart:
+            near &= blocks != blocks[x]
+        for y in np.flatnonzero(near):
+            if home[y] != home[x]:
+                links.append((int(labels[x]), int(labels[y])))
+                home[home == home[y]] = home[x]
+    return links
+
+
+def _cell_tables(cell: pa.Table) -> pa.Table:
+    sets = [h.values.to_numpy() for h in cell.column("hashes")]
+    found = cell_links(sets, cell.column("label").to_numpy(), cell.column("block").to_numpy())
+    return pa.table([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
+
+
+def _open_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links of labels that members (band, key, size, label) have in buckets that are still open.
+
+    A bucket is open if not all its members have met and they have different labels. It is cut into
+    blocks, and each two blocks are one cell: memory is bounded and a hot bucket is many tasks.
+    """
+    counts = members.groupBy("band").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.sum("size").alias("hashes"))
+    still_open = counts.where((F.col("n") > AFTER + 2) & (F.col("low") != F.col("high"))).select("band", F.ceil(F.col("hashes") / CELL).alias("blocks"))
+    placed = members.join(still_open, "band").withColumn("block", F.pmod(F.xxhash64("key", F.lit(CELL)), F.col("blocks")))
+    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    return cells.select("band", low, high, "block", "key", "label").join(sets, "key").groupBy("band", "low", "high").applyInArrow(_cell_tables, "a long, b long")
+
+
 def _near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, k1, k2, key, component, component_id) of each row."""
     rows = _rows(docs, id_col, text_col)
     marked = durable(rows.mapInArrow(_set_batches, "doc_id long, k1 long, k2 long, key long, size long, bands array<long>"))
-    nodes = marked.groupBy("key").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.min("doc_id").alias("node"), F.min(F.struct("k1", "k2")).alias("row"))
+    nodes = durable(
+        marked.groupBy("key").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.min("doc_id").alias("node"), F.min(F.struct("k1", "k2")).alias("row"))
+    )
     some, whole = LEAST_SHARED
     pairs = durable(
         _candidates(nodes.select(F.struct("key", "size", "row").alias("x"), F.explode("bands").alias("band")))
-        .where(whole * F.least("x.size", "y.size") >= some * F.greatest("x.size", "y.size"))  # else never so similar
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         .distinct()
     )
-    ends = pairs.select("a.row.*").union(pairs.select("b.row.*")).distinct()
+    ends = pairs.select("a.row.*").union(pairs.select("b.row.*")).distinct()  # all members of buckets of two and more
     texts = rows.join(ends, ["k1", "k2"], "left_semi").select("text")
     sets = durable(in_small_batches(texts).mapInArrow(_hash_batches, "key long, hashes array<long>").dropDuplicates(["key"]))
     side = lambda name: sets.select(F.col("key").alias(name), F.col("hashes").alias(f"{name}_hashes"))
-    both = pairs.select(F.col("a.key").alias("a"), F.col("b.key").alias("b")).join(side("a"), "a").join(side("b"), "b")
+    fitting = pairs.where(whole * F.least("a.size", "b.size") >= some * F.greatest("a.size", "b.size"))  # else never so similar
+    both = fitting.select(F.col("a.key").alias("a"), F.col("b.key").alias("b")).join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("a_hashes", "b_hashes"))
     links = both.where(shared * (some + whole) >= some * (F.size("a_hashes") + F.size("b_hashes"))).select("a", "b")
-    return marked.select("doc_id", "k1", "k2", "key").join(_classes(nodes, links, "key"), "key")
+    named = durable(_with_component(nodes, components(links), "key").withColumnRenamed("component", "label"))
+    further = components(_open_links(named.select("key", "size", "label", F.explode("bands").alias("band")), sets))
+    joined = named.select("key", "node", "label").join(further.withColumnRenamed("node", "label"), "label", "left").withColumn("component", F.coalesce("component", "label"))
+    return marked.select("doc_id", "k1", "k2", "key").join(_classes(joined, "key"), "key")
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, key, component_id): one row per row of ``docs``; ``key`` stands for the set of shingles.
 
     Texts link where their sets of 5-word shingles have Jaccard similarity 0.8 or more, verified on
-    the whole sets. ``component_id`` is the smallest doc_id reachable. Texts of one set always share
+    the whole sets; no link is lost in a bucket, however large it is. ``component_id`` is the smallest doc_id reachable. Texts of one set always share
     a component, as do texts without words, null ones too. Null and repeated ids, long texts, empty
     tables and other columns are as in ``near_duplicates``.
     """
