@@ -69,8 +69,8 @@ def shared_template(seed, members, copies):
             words[k] = f"x{rng.randrange(10**6)}"
         return words
 
-    texts = [changed(base, rng.sample(range(200), 6)) for _ in range(members)]
-    texts += [changed(texts[rng.randrange(members)], [rng.randrange(200)]) for _ in range(copies)]
+    texts = [changed(base, rng.sample(range(200), 3)) for _ in range(members)]
+    texts += [changed(texts[rng.randrange(members)], rng.sample(range(200), 4)) for _ in range(copies)]
     rng.shuffle(texts)
     return [(i, " ".join(t)) for i, t in enumerate(texts)]
 
@@ -84,9 +84,9 @@ def parted(pairs):
 
 
 def test_a_large_bucket_of_mostly_unlike_texts_loses_no_link(spark, monkeypatch):
-    rows = shared_template(7, 80, 40)
+    rows = shared_template(7, 120, 60)
     want = brute(rows)
-    assert 1 < len(parted(want)) < 100
+    assert 1 < len(parted(want)) < 120  # some are joined, most texts are not
     df = spark.createDataFrame(rows, "doc_id long, text string")
     for cell, block in ((nd.CELL, nd.BLOCK), (2_000, 10)):  # one cell a bucket, then many of few members
         monkeypatch.setattr(nd, "CELL", cell)
