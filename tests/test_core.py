@@ -227,3 +227,15 @@ def test_typed_projection(spark):
 
 def test_every_type_code_is_known():
     assert len(T.COLUMN_TYPES) == 30 and S.BEGIN == "BEGIN;\n"
+
+
+def test_ddl_all_along_the_log_makes_maps_null(spark):
+    from tidelog.operators import metadata
+
+    rows = [(f"f.{k // 100}", k, (k // 10 * 10 + 1, "db", "t") if k % 3 else None) for k in range(3000) if k % 10 not in (1, 5)]
+    df = spark.createDataFrame(rows, "log_file string, seq long, map struct<seq:long,schema:string,table:string>")
+    ddl = spark.createDataFrame([(f"f.{k // 100}", k, "db", t) for k in range(5, 3000, 10) for t in ("t", "u") if t == "u" or k % 20 == 5], "log_file string, seq long, schema string, table string")
+    found = metadata.valid(df, ddl)
+    assert "exists" not in found._jdf.queryExecution().analyzed().toString()  # a look through all places for each row
+    want = sorted((k, m and not (k % 20 > 5 and k % 20 < 10) and m[0] or None) for _, k, m in rows)
+    assert found.columns == df.columns and sorted(((r.seq, r.map and r.map.seq) for r in found.collect()), key=str) == sorted(want, key=str)

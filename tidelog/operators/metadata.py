@@ -37,12 +37,18 @@ def as_of(df: DataFrame, is_map: Column, value: Column, key: str = "table_id", f
     return joined.withColumn(name, F.coalesce(F.last("_v", ignorenulls=True).over(inside), F.col("_before"))).drop("_v", "_file", "_key", "_before")
 
 
-def valid(rows: DataFrame, changed: DataFrame, name: str = "map", order: str = "seq") -> DataFrame:
-    """The map becomes null where DDL on its table lies between the map and the row."""
-    marks = changed.select(F.col("schema").alias("_schema"), F.col("table").alias("_table"), "at")
-    joined = rows.join(marks, (rows[f"{name}.schema"] == marks["_schema"]) & (rows[f"{name}.table"] == marks["_table"]), "left")
-    stale = F.coalesce(F.exists("at", lambda s: (s > F.col(f"{name}.seq")) & (s < F.col(order))), F.lit(False))
-    return joined.withColumn(name, F.when(~stale, F.col(name))).drop("_schema", "_table", "at")
+def valid(rows: DataFrame, places: DataFrame, name: str = "map", order: str = "seq", file: str = "log_file") -> DataFrame:
+    """The map becomes null where DDL on its table lies between the map and the row.
+
+    places: (log_file, seq, schema, table), as of ``ddl_places``; an event is a row or DDL, not both.
+    The last DDL before a row is looked up as its map is, so a table may have any number of them.
+    """
+    target = F.when(F.col(name).isNotNull(), F.struct(F.col(f"{name}.schema").alias("schema"), F.col(f"{name}.table").alias("table")))
+    ddl = places.select(F.col("log_file").alias(file), F.col("seq").alias(order), F.col("seq").alias("_ddl"), F.struct("schema", "table").alias("_target"))
+    both = rows.withColumn("_target", target).withColumn("_ddl", F.lit(None).cast("long")).unionByName(ddl, allowMissingColumns=True)
+    found = as_of(both, F.col("_ddl").isNotNull(), F.col("_ddl"), key="_target", file=file, order=order, name="_last").where("_ddl is null")
+    stale = F.coalesce(F.col("_last") > F.col(f"{name}.seq"), F.lit(False))
+    return found.withColumn(name, F.when(~stale, F.col(name))).select(rows.columns)
 
 
 def timeline(maps: DataFrame, ddl: DataFrame) -> DataFrame:

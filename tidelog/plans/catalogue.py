@@ -126,8 +126,8 @@ def _maps(spark, d):
     SELECT seq, table_id, CASE WHEN map_seq > coalesce(ddl_seq, 0) THEN map_seq END AS map_seq FROM bound WHERE kind = 'R'""")
 def table_map_asof(spark, d):  # J1, J2, T7
     rows = M.as_of(_maps(spark, d).withColumnRenamed("map", "_m"), F.col("kind") == "G", F.col("_m"))
-    changed = change_log(spark, d).where("kind = 'D'").groupBy(F.lit("db").alias("schema"), F.concat(F.lit("t"), F.col("table_id").cast("string")).alias("table")).agg(F.sort_array(F.collect_list("seq")).alias("at"))
-    return M.valid(rows.where("kind = 'R'"), changed).select("seq", "table_id", F.col("map.seq").alias("map_seq"))
+    ddl = change_log(spark, d).where("kind = 'D'").select("log_file", "seq", F.lit("db").alias("schema"), F.concat(F.lit("t"), F.col("table_id").cast("string")).alias("table"))
+    return M.valid(rows.where("kind = 'R'"), ddl).select("seq", "table_id", F.col("map.seq").alias("map_seq"))
 
 
 @query("""SELECT r_name AS "table", n_name AS "column", row_number() OVER (PARTITION BY r_name ORDER BY n_nationkey) AS ordinal,
