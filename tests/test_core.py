@@ -229,6 +229,20 @@ def test_every_type_code_is_known():
     assert len(T.COLUMN_TYPES) == 30 and S.BEGIN == "BEGIN;\n"
 
 
+def test_an_executed_set_of_many_intervals(spark, monkeypatch):
+    from tidelog.operators import gtid
+
+    done = [("a", 10 * k, 10 * k + 3) for k in range(1, 40_000)] + [("b", 1, 300_000), (None, 1, 9)]
+    asked = [(s, n) for s in ("a", "b", "c") for n in range(1, 400_000, 7)] + [("a", None), (None, 5)]
+    df = spark.createDataFrame(asked, "sid string, gno long")
+    want = sorted((x for x in asked if None in x or x[0] == "c" or x[0] == "b" and x[1] > 300_000 or x[0] == "a" and (x[1] < 10 or x[1] % 10 > 3)), key=str)
+    found = gtid.skip_executed(df, spark.createDataFrame(done, "sid string, start long, end long"))
+    assert "exists" not in found._jdf.queryExecution().analyzed().toString()  # a look through all intervals for each transaction
+    assert found.columns == ["sid", "gno"] and sorted(((r.sid, r.gno) for r in found.collect()), key=str) == want
+    overlapping = spark.createDataFrame([("a", 5, 200_000), ("a", 6, 7)], "sid string, start long, end long")
+    assert sorted(r.gno for r in gtid.skip_executed(df.where("sid = 'a'"), overlapping).where("gno < 200010").collect()) == [1, 200_005]
+
+
 def test_ddl_all_along_the_log_makes_maps_null(spark):
     from tidelog.operators import metadata
 

@@ -9,6 +9,8 @@ from .order import with_previous
 
 #: Intervals of one server are merged in blocks of so many transaction numbers first.
 BLOCK = 1 << 24
+#: Transaction numbers of one server that one task compares with an executed set.
+SPAN = 1 << 16
 
 
 def _islands(df: DataFrame, *keys: str) -> DataFrame:
@@ -92,11 +94,18 @@ def as_intervals(df: DataFrame, column: str = "gtid") -> DataFrame:
 
 
 def skip_executed(transactions: DataFrame, executed: DataFrame, sid: str = "sid", gno: str = "gno") -> DataFrame:
-    """Transactions that are not in the executed set (merged intervals).
+    """Transactions that are not in the executed set (intervals, merged or not); one without a server or number stays.
 
-    A server's intervals are one sorted array (after merging there are few), so this is an equal
-    join on the server, not a range join; a server's hot transactions are split by the join.
+    A number is executed if the intervals that start at or before it reach it. So both are dealt out
+    by server and ``SPAN`` of numbers, and each span is gone through once; how far the spans before
+    reach is a small table of one row for each span. The set may have any number of intervals.
     """
-    done = executed.groupBy(F.col("sid").alias("_sid")).agg(F.collect_list(F.struct("start", "end")).alias("_done"))
-    inside = F.exists("_done", lambda i: (i["start"] <= F.col(gno)) & (F.col(gno) <= i["end"]))
-    return transactions.join(done, transactions[sid] == done["_sid"], "left").where(~F.coalesce(inside, F.lit(False))).drop("_sid", "_done")
+    done = executed.where("sid is not null and start is not null and end is not null")
+    done = done.select(F.col("sid").alias("_sid"), F.col("start").cast("long").alias("_at"), F.col("end").cast("long").alias("_end"))
+    asked = transactions.withColumn("_sid", F.col(sid)).withColumn("_at", F.col(gno).cast("long")).withColumn("_end", F.lit(None).cast("long")).withColumn("_asked", F.lit(True))
+    both = asked.unionByName(done.withColumn("_asked", F.lit(False)), allowMissingColumns=True).withColumn("_span", F.floor(F.col("_at") / SPAN))
+    spans = both.groupBy(F.col("_sid").alias("_s"), F.col("_span").alias("_k")).agg(F.max("_end").alias("_most"))
+    before = spans.withColumn("_before", F.max("_most").over(Window.partitionBy("_s").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1))).drop("_most")
+    inside = F.max("_end").over(Window.partitionBy("_sid", "_span").orderBy("_at"))  # a range: an interval that starts at the number counts
+    joined = both.join(before, (both["_sid"] == before["_s"]) & (both["_span"] == before["_k"]), "left").withColumn("_reach", F.greatest(inside, "_before"))
+    return joined.where("_asked").where(~F.coalesce(F.col("_reach") >= F.col("_at"), F.lit(False))).select(transactions.columns)
