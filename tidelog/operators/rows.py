@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -17,6 +17,8 @@ from .metadata import ddl_places, timeline, with_names
 
 #: Rows of one event that go into one batch at most.
 BATCH = 2_000
+#: States of a table id that are looked through at once; more are cut into chunks, about as many as a chunk has states.
+CHUNK = 256
 
 
 def _arrow(ddl: str) -> pa.Schema:
@@ -64,30 +66,52 @@ def previous_gtids(events: DataFrame) -> DataFrame:
 def bound_rows(events: DataFrame, catalog: DataFrame | None = None, rows: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Rows events with the table map in force when they were written (null if there is none).
 
-    rows: the rows events, if ``events`` does not hold them. Their payloads meet a table of a few
-    states for each table id; if ``keep`` makes that table first, the engine knows its size, and
-    sends it to the rows where it is small instead of dealing them out by table id.
+    rows: the rows events, if ``events`` does not hold them. Their payloads meet the places of each
+    table id's states, and then the map of the state; if ``keep`` makes these tables first, the engine
+    knows their size, and sends them to the rows where they are small instead of dealing these out.
+    A table id with many states (DDL all along the log) has them in chunks: a row finds its chunk,
+    then its place in it, each by a binary search, so it never carries more than a chunk.
     """
     said = events.where(F.col("type") == TABLE_MAP).select("log_file", "start_pos", "seq", "type", "payload", le_uint(F.col("payload"), 0, 6).alias("table_id"), F.md5("payload").alias("digest"))
     # a log repeats its maps: each distinct one is decoded and named once
     once = said.groupBy("digest").agg(F.min_by(F.struct("log_file", "start_pos", "type", "payload"), "seq").alias("e"))
     decoded = table_maps(once.select("e.*", "digest"), "digest").where("error is null")
     known = with_names(decoded, catalog).select("digest", "schema", "table", "columns")
+    known = keep(known) if keep else known
     maps = said.join(known.select("digest", "schema", "table"), "digest").select("log_file", "seq", "table_id", F.struct("schema", "table", "digest").alias("map"))
-    whole = F.when(F.col("columns").isNotNull(), F.struct("schema", "table", "columns")).alias("map")
-    states = (
-        timeline(maps, ddl_places(events))
-        .select("table_id", "seq", F.col("map.digest").alias("digest"))
-        .join(known, "digest", "left")
-        .groupBy(F.col("table_id").alias("_id"))
-        .agg(F.sort_array(F.collect_list(F.struct("seq", whole))).alias("states"))
-    )
+    chunks = state_chunks(timeline(maps, ddl_places(events)).select("table_id", "seq", F.col("map.digest").alias("digest")))
+    cut = True
     if keep:
-        states = keep(states)
-        states.count()
+        chunks = keep(chunks)
+        cut = chunks.where("cut").limit(1).count() > 0
+    one = F.min_by(F.struct("starts", "digests"), "chunk")
+    firsts = F.transform(F.sort_array(F.collect_list(F.struct("chunk", F.col("starts")[0].alias("seq")))), lambda c: c["seq"])
+    ids = chunks.groupBy(F.col("table_id").alias("_id")).agg(F.when(F.first("cut"), firsts).otherwise(one["starts"]).alias("_starts"), F.when(~F.first("cut"), one["digests"]).alias("_digests"))
     own = (events if rows is None else rows).where(F.col("type").isin(*ROWS)).withColumn("table_id", le_uint(F.col("payload"), 0, 6))
-    before = F.filter("states", lambda s: s["seq"] <= F.col("seq"))
-    return own.join(states, own["table_id"] == states["_id"], "left").withColumn("map", F.try_element_at(before, F.lit(-1))["map"]).drop("states", "_id")
+    own = own.join(ids, own["table_id"] == ids["_id"], "left").withColumn("_n", reached(F.col("_starts"), F.col("seq")) - 1)
+    own = own.withColumn("_digest", F.get("_digests", "_n")).withColumn("_chunk", F.when(F.col("_digests").isNull(), F.col("_n"))).drop("_id", "_starts", "_digests", "_n")
+    if cut:
+        parts = chunks.where("cut").select(F.col("table_id").alias("_id"), F.col("chunk").alias("_of"), "starts", "digests")
+        own = own.join(parts, (own["table_id"] == parts["_id"]) & (own["_chunk"] == parts["_of"]), "left")
+        own = own.withColumn("_digest", F.coalesce("_digest", F.get("digests", reached(F.col("starts"), F.col("seq")) - 1))).drop("_id", "_of", "starts", "digests")
+    whole = known.select(F.col("digest").alias("_said"), F.struct("schema", "table", "columns").alias("map"))
+    return own.join(whole, own["_digest"] == whole["_said"], "left").drop("_chunk", "_digest", "_said")
+
+
+def state_chunks(states: DataFrame) -> DataFrame:
+    """(table_id, chunk, cut, starts, digests) of (table_id, seq, digest): each table id's states in order, in chunks from 0; ``cut`` if there are several."""
+    own = Window.partitionBy("table_id")
+    size = F.when(F.col("_n") > CHUNK, F.greatest(F.lit(CHUNK), F.ceil(F.sqrt("_n")))).otherwise(F.col("_n"))
+    placed = states.withColumn("_n", F.count("*").over(own)).withColumn("chunk", F.floor((F.row_number().over(own.orderBy("seq")) - 1) / size).cast("int"))
+    inside = F.sort_array(F.collect_list(F.struct("seq", "digest")))
+    found = placed.groupBy("table_id", "chunk", (F.col("_n") > CHUNK).alias("cut")).agg(inside.alias("_s"))
+    return found.select("table_id", "chunk", "cut", F.col("_s.seq").alias("starts"), F.col("_s.digest").alias("digests"))
+
+
+def reached(starts: Column, at: Column) -> Column:
+    """How many of the sorted ``starts`` are at or before ``at``, by a binary search; 0 for none or null."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(31))])
+    return F.aggregate(steps, F.lit(0), lambda n, step: F.when((step <= F.size(starts) - n) & (F.get(starts, n + step - 1) <= at), n + step).otherwise(n))
 
 
 def operation(kind: Column) -> Column:
