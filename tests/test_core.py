@@ -274,3 +274,16 @@ def test_places_are_found_by_binary_search(spark):
     rows = [(at, s) for at in range(25) for s in (starts, starts[:1], [], None)]
     found = spark.createDataFrame(rows, "at long, s array<long>").select(R.reached(F.col("s"), F.col("at")).alias("n")).collect()
     assert [r.n for r in found] == [sum(x <= at for x in s or []) for at, s in rows]
+
+
+def test_maps_of_many_tables_are_not_sent_to_all_tasks(spark):
+    from tidelog.plans.changes import read_log
+    from tidelog.store import stored
+
+    n = 9000  # 261,000 columns, in a file far below what the engine sends
+    parts = [p for k in range(n) for p in ((19, E.table_map(k, "test", "t", [("LONG", b"")] * 29)), (30, E.rows(k, 29, [E.image([i32(k)] * 29)], version=2)))]
+    events, rows = read_log(raw(spark, parts))
+    found = R.bound_rows(events, None, stored(rows), stored)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert not any("BroadcastHashJoin" in line and "digest" in line for line in plan.splitlines())
+    assert "SortMergeJoin" in plan and found.where(F.size("map.columns") == 29).count() == n

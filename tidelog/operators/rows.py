@@ -19,6 +19,9 @@ from .metadata import ddl_places, timeline, with_names
 BATCH = 2_000
 #: States of a table id that are looked through at once; more are cut into chunks, about as many as a chunk has states.
 CHUNK = 256
+#: Places of states, or columns of maps, up to which a table of them may be sent to all tasks. In memory they take many
+#: times their size on disk, by which the engine decides; a larger table is dealt out with the rows.
+SENT = 250_000
 
 
 def _arrow(ddl: str) -> pa.Schema:
@@ -78,24 +81,32 @@ def bound_rows(events: DataFrame, catalog: DataFrame | None = None, rows: DataFr
     decoded = table_maps(once.select("e.*", "digest"), "digest").where("error is null")
     known = with_names(decoded, catalog).select("digest", "schema", "table", "columns")
     known = keep(known) if keep else known
+    columns = known.agg(F.sum(F.size("columns"))).first()[0] if keep else 0
     maps = said.join(known.select("digest", "schema", "table"), "digest").select("log_file", "seq", "table_id", F.struct("schema", "table", "digest").alias("map"))
     chunks = state_chunks(timeline(maps, ddl_places(events)).select("table_id", "seq", F.col("map.digest").alias("digest")))
-    cut = True
+    outer, inner, cut = 0, 0, True
     if keep:
         chunks = keep(chunks)
-        cut = chunks.where("cut").limit(1).count() > 0
+        n = F.size("starts")
+        outer, inner = chunks.agg(F.sum(F.when(F.col("cut"), 1).otherwise(n)), F.sum(F.when(F.col("cut"), n))).first()
+        cut = inner is not None
     one = F.min_by(F.struct("starts", "digests"), "chunk")
     firsts = F.transform(F.sort_array(F.collect_list(F.struct("chunk", F.col("starts")[0].alias("seq")))), lambda c: c["seq"])
     ids = chunks.groupBy(F.col("table_id").alias("_id")).agg(F.when(F.first("cut"), firsts).otherwise(one["starts"]).alias("_starts"), F.when(~F.first("cut"), one["digests"]).alias("_digests"))
     own = (events if rows is None else rows).where(F.col("type").isin(*ROWS)).withColumn("table_id", le_uint(F.col("payload"), 0, 6))
-    own = own.join(ids, own["table_id"] == ids["_id"], "left").withColumn("_n", reached(F.col("_starts"), F.col("seq")) - 1)
+    own = own.join(_sized(ids, outer), own["table_id"] == ids["_id"], "left").withColumn("_n", reached(F.col("_starts"), F.col("seq")) - 1)
     own = own.withColumn("_digest", F.get("_digests", "_n")).withColumn("_chunk", F.when(F.col("_digests").isNull(), F.col("_n"))).drop("_id", "_starts", "_digests", "_n")
     if cut:
         parts = chunks.where("cut").select(F.col("table_id").alias("_id"), F.col("chunk").alias("_of"), "starts", "digests")
-        own = own.join(parts, (own["table_id"] == parts["_id"]) & (own["_chunk"] == parts["_of"]), "left")
+        own = own.join(_sized(parts, inner), (own["table_id"] == parts["_id"]) & (own["_chunk"] == parts["_of"]), "left")
         own = own.withColumn("_digest", F.coalesce("_digest", F.get("digests", reached(F.col("starts"), F.col("seq")) - 1))).drop("_id", "_of", "starts", "digests")
     whole = known.select(F.col("digest").alias("_said"), F.struct("schema", "table", "columns").alias("map"))
-    return own.join(whole, own["_digest"] == whole["_said"], "left").drop("_chunk", "_digest", "_said")
+    return own.join(_sized(whole, columns), own["_digest"] == whole["_said"], "left").drop("_chunk", "_digest", "_said")
+
+
+def _sized(table: DataFrame, n: int | None) -> DataFrame:
+    """``table``, never sent to all tasks if it holds more than ``SENT``."""
+    return table.hint("merge") if (n or 0) > SENT else table
 
 
 def state_chunks(states: DataFrame) -> DataFrame:
