@@ -313,3 +313,12 @@ def test_wire_codecs():
     assert wire.parse_uuid("x") is None and wire.encode_gtid_set("junk") == bytes(8)
     with pytest.raises(wire.ServerError):
         wire.Connection._check(b"\xff\x10\x04#08004Too many")
+
+
+def test_a_run_that_ends_by_itself_takes_as_many_batches_as_the_log_needs(spark, logs, tmp_path):
+    folder, rows = logs
+    want = texts(statements(spark.createDataFrame([(f, p, bytearray(b)) for f, p, b in rows], T.RAW)))
+    got = []
+    config = Config(log_dir=str(folder), checkpoint_file=str(tmp_path / "cp"), start_file="mysql-bin.000001", decode_queue_size=40, threads=1)
+    start(spark, config, SqlSink(None, got.append), str(tmp_path / "state"), available_now=True).awaitTermination()
+    assert got == want and len(rows) > 40

@@ -11,6 +11,7 @@ import os
 import struct
 import uuid
 import zlib
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,7 +111,8 @@ def log_folder(spark: SparkSession, sf_dir: str) -> str:
         return pa.table({"n": [len(parts)]})
 
     o = table(spark, sf_dir, "orders").select((F.col("o_orderkey").cast("long")).alias("key"), F.col("o_custkey").cast("long"), F.round(F.col("o_totalprice") * 100).cast("long"), "o_orderstatus")
-    o.select(F.floor(F.col("key") / 1000 + 1).cast("long").alias("file"), "*").groupBy("file").applyInArrow(work, "n long").count()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # by number: the rows are small, the work on them is not
+    o.select(F.floor(F.col("key") / 1000 + 1).cast("long").alias("file"), "*").repartition(parts, "file").groupBy("file").applyInArrow(work, "n long").count()
     return folder
 
 
@@ -262,13 +264,39 @@ def stream_to_sql(spark, d):  # A1, S19, K1 to K5, T2, T5 to T8, T10, B7: the st
 
     folder = log_folder(spark, d)
     config = Config(log_dir=folder, checkpoint_file=f"{folder}/.point", start_file=sorted(n for n in os.listdir(folder) if n[0] != ".")[0], include_coords=False, decode_queue_size=1 << 20)
-    seen: list[int] = []
-    start(spark, config, SqlSink(f"{folder}/.out", lambda s: seen.append(len(s))), f"{folder}/.state", available_now=True, catalog=order_catalog(spark)).awaitTermination()
+    seen = [0]
+
+    def count(_: str) -> None:
+        seen[0] += 1
+
+    start(spark, config, SqlSink(f"{folder}/.out", count), f"{folder}/.state", available_now=True, catalog=order_catalog(spark)).awaitTermination()
     point = load_checkpoint(config.checkpoint_file)
-    with open(f"{folder}/.out") as f:
-        lines = [(0, f"{point.file} {point.position}"), *enumerate((line.rstrip("\n") for line in f), 1)]
-    assert len(seen) == len(lines) - 1
-    return stored(spark.createDataFrame(lines, "n long, line string"))
+    lines, n = numbered_lines(spark, f"{folder}/.out")
+    assert seen[0] == n
+    return stored(lines.unionByName(spark.createDataFrame([(0, f"{point.file} {point.position}")], "n long, line string")))
+
+
+def numbered_lines(spark: SparkSession, path: str, most: int = 50_000) -> tuple[DataFrame, int]:
+    """((n, line) of a text file in a shared folder, from 1, how many): the driver only looks where each ``most`` lines begin."""
+    parts, n, at = [], 0, 0
+    with open(path, "rb") as f:
+        while lines := list(islice(f, most)):
+            size = sum(map(len, lines))
+            parts.append((n, at, size))
+            n, at = n + len(lines), at + size
+
+    def work(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for first, start, size in zip(*(c.to_pylist() for c in batch.columns)):
+                with open(path, "rb") as f:
+                    f.seek(start)
+                    texts = f.read(size).decode().removesuffix("\n").split("\n")
+                yield pa.RecordBatch.from_arrays([pa.array(range(first + 1, first + 1 + len(texts)), pa.int64()), pa.array(texts, pa.string())], names=["n", "line"])
+
+    tasks = spark.createDataFrame(parts, "first long, start long, size long").repartition(max(1, len(parts)))
+    return tasks.mapInArrow(work, "n long, line string"), n
 
 
 @query("SELECT event_id, row_number() OVER (ORDER BY event_id) AS seq_no, lag(event_id) OVER (ORDER BY event_id) AS prev_event_id FROM events")

@@ -5,7 +5,8 @@
     spark.readStream.format("binlog").option("path", folder).option("maxEventsPerBatch", 10000).load()
 
 Options: path (a folder, or a file), startFile and startPos (where to begin), startGtid (a GTID set
-that is applied already: its transactions are left out), maxEventsPerBatch (admission for streams).
+that is applied already: its transactions are left out), maxEventsPerBatch (admission for streams),
+endFile and endPos (where a stream ends: later events are left for another).
 Rows: log_file, start_pos, body. The folder is opened by path on the driver and on executors, so on
 a cluster it is a mount that all have; ``read_files`` reads the same through Spark's own file
 readers, from any store.
@@ -60,9 +61,10 @@ def read_events(file: str, start: int = START, end: int | None = None) -> Iterat
             yield at, body
 
 
-def scan_end(file: str, start: int, most: int) -> tuple[int, int]:
-    """(position after at most ``most`` whole events, how many): reads the headers only."""
+def scan_end(file: str, start: int, most: int, end: int | None = None) -> tuple[int, int]:
+    """(position after at most ``most`` whole events, how many), none beyond ``end``: reads the headers only."""
     n, size = 0, os.path.getsize(file)
+    size = size if end is None else min(size, end)
     with open(file, "rb") as f:
         at = max(start, START)
         while n < most and at + HEADER <= size:
@@ -110,6 +112,19 @@ class Span(InputPartition):
         self.file, self.name, self.start, self.end, self.executed = file, name, start, end, executed
 
 
+def _batches(span: Span) -> Iterator[pa.RecordBatch]:
+    """Rows of a span in batches of 4,096 events or 8 MB, about."""
+    out, size = [], 0
+    for row in _rows(span):
+        out.append(row)
+        size += len(row[2])
+        if len(out) >= 4096 or size > 8 << 20:
+            yield _batch(out)
+            out, size = [], 0
+    if out:
+        yield _batch(out)
+
+
 def _rows(span: Span) -> Iterator[tuple]:
     if not span.executed:
         for at, body in read_events(span.file, span.start, span.end):
@@ -147,8 +162,8 @@ class BinlogReader(DataSourceReader):
         kept = [n for n in names if self.only in (None, n)]
         return [Span(locate(self.path, n), n, self.at if n == self.first else START, None, self.executed) for n in kept] or [Span("", "", 0, 0)]
 
-    def read(self, partition: Span) -> Iterator[tuple]:
-        return _rows(partition) if partition.file else iter(())
+    def read(self, partition: Span) -> Iterator[pa.RecordBatch]:
+        return _batches(partition) if partition.file else iter(())
 
 
 class BinlogStreamReader(DataSourceStreamReader):
@@ -157,6 +172,7 @@ class BinlogStreamReader(DataSourceStreamReader):
     def __init__(self, options: dict):
         self.path, self.most = options["path"], int(options.get("maxeventsperbatch", 100_000))
         self.first, self.at = options.get("startfile"), int(options.get("startpos", START))
+        self.last, self.end = options.get("endfile"), int(options.get("endpos", 0))
         self.reached: dict | None = None
         self.executed = options.get("startgtid") or ""
 
@@ -167,14 +183,12 @@ class BinlogStreamReader(DataSourceStreamReader):
     def latestOffset(self) -> dict:
         at = dict(self.reached or self.initialOffset())
         left, names = self.most, log_files(self.path)
-        for name in names:
-            if at["file"] and names.index(name) < (names.index(at["file"]) if at["file"] in names else 0):
-                continue
+        for name in names[names.index(at["file"]) if at["file"] in names else 0 :]:
             if name != at["file"]:
                 at = {"file": name, "pos": START}
-            at["pos"], n = scan_end(locate(self.path, name), at["pos"], left)
+            at["pos"], n = scan_end(locate(self.path, name), at["pos"], left, self.end if name == self.last else None)
             left -= n
-            if left <= 0:
+            if left <= 0 or name == self.last:
                 break
         self.reached = at
         return at
@@ -192,8 +206,8 @@ class BinlogStreamReader(DataSourceStreamReader):
                 break
         return out
 
-    def read(self, partition: Span) -> Iterator[tuple]:
-        return _rows(partition)
+    def read(self, partition: Span) -> Iterator[pa.RecordBatch]:
+        return _batches(partition)
 
     def commit(self, end: dict) -> None:
         """Log files stay where they are."""
