@@ -11,17 +11,20 @@ Links go from the smallest member to the others, which keeps connectivity withou
 components are found by minimum-label propagation with pointer jumping over durable tables.
 
 The corpus stage (``near_copies``) links texts whose sets of 5-word shingles have Jaccard
-similarity 0.8 or more, which lie up to some ten bits apart and so outside any ball. Candidates
-share all minima of a band; each candidate pair is verified on the whole sets. In a band's bucket a
-member first meets a few others. A bucket whose members these links have all joined is done; in any
-other, members of different components are compared, all with all, in cells of bounded size.
+similarity 0.8 or more. Their SimHashes of 192 bits differ in some 29, too many for one ball. So each
+set has 12 fingerprints, each 8 of these bits below a hash of two sampled shingles, and the same ball
+hashing at radius 2 finds in each table which fingerprints meet: a bucket is a variant. Pairs that met
+are verified by the bit count of the whole SimHash, at a radius wide enough for 0.8, and then on the
+whole sets. In a bucket a member first meets a few others. A bucket whose members these links have all
+joined is done; in any other, members of different components are compared, all with all, in cells of
+bounded size, first by bit count and, those that have a partner, on the whole sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
-from itertools import combinations
+from itertools import combinations, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -33,17 +36,24 @@ from .common import discard, durable, free_name, in_small_batches
 
 BITS, RADIUS, SHINGLE, SEED = 64, 2, 3, 42
 _CHUNK = 1 << 15
-#: Near copies: words of a shingle, and the least Jaccard similarity as a fraction. Sixteen bands of
-#: four minima miss a pair at 0.8 with probability (1 - 0.8 ** 4) ** 16 = 0.0002.
-WORDS, LEAST_SHARED, BANDS, MINIMA = 5, (4, 5), 16, 4
-#: A member of a band's bucket first meets the bucket's first and so many before itself; each band has
+#: Near copies: words of a shingle, and the least Jaccard similarity as a fraction.
+WORDS, LEAST_SHARED = 5, (4, 5)
+#: Fingerprints of a set, the SimHash bits in each and the sampled shingles above them. At 0.8 a bit differs
+#: with probability 0.15, so a table keeps a pair with 0.8 ** 2 * 0.89 and all miss it with 0.00004; sets
+#: of 4 and 5 shingles, the worst, differ in a bit with 0.19 and are missed with 0.00013.
+TABLES, SIM_BITS, SAMPLES = 12, 8, 2
+#: Most differing bits of the whole SimHash: even the worst pairs at 0.8 lie beyond with probability 0.000005.
+WIDE = 60
+#: A member of a bucket first meets the bucket's first and so many before itself; each bucket has
 #: an order of its own, so a large bucket that is one component costs its size and not its square.
 AFTER = 2
 #: Members of a bucket that one task orders, about.
 BLOCK = 10_000
 #: Hashes of one block of a bucket that is still open, about; a cell compares two blocks.
 CELL = 1 << 20
-_ODD, _MIX = (np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * MINIMA), dtype=np.uint64) << np.uint64(1)) + np.uint64(1)
+#: Members of one block of such a bucket whose bit counts are compared with another's.
+SIDE = 2_000
+_ODD, _MIX = (np.random.default_rng(SEED).integers(0, 1 << 63, (2, TABLES * SAMPLES), dtype=np.uint64) << np.uint64(1)) + np.uint64(1)
 
 
 def simhash(text: bytes, shingle: int = SHINGLE) -> int:
@@ -92,6 +102,27 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return _rows(docs, id_col, text_col).mapInArrow(_fingerprint_batches, "doc_id long, k1 long, k2 long, fp long")
 
 
+def ball_groups(distinct: DataFrame, bits: int = BITS) -> DataFrame:
+    """(variant, members): distinct fingerprints that meet on a variant, two or more; the ``bits`` lowest bits are flipped.
+
+    A group is its centre plus a 64-bit mask of the flipped bits: plain long aggregates.
+    """
+    step = F.explode(F.sequence(F.lit(-1), F.lit(bits - 1))).alias("bit")
+    flip = F.when(F.col("bit") < 0, F.lit(0).cast("long")).otherwise(F.expr("shiftleft(1L, bit)"))
+    members = F.expr(
+        f"concat(if(centre = 1, array(variant), cast(array() as array<bigint>)), transform(filter(sequence(0, {bits - 1}), "
+        "i -> (mask & shiftleft(1L, i)) != 0), i -> variant ^ shiftleft(1L, i)))"
+    )
+    return (
+        distinct.select("fp", step)
+        .select(F.col("fp").bitwiseXOR(flip).alias("variant"), flip.alias("mask"), F.when(F.col("bit") < 0, 1).otherwise(0).alias("centre"))
+        .groupBy("variant")
+        .agg(F.bit_or("mask").alias("mask"), F.max("centre").alias("centre"))
+        .where(F.bit_count("mask") + F.col("centre") > 1)
+        .select("variant", members.alias("members"))
+    )
+
+
 def ball_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(hub, fp): links between distinct fingerprints at distance <= ``radius`` (even).
 
@@ -104,20 +135,8 @@ def ball_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     distinct, half = fps.select("fp").repartition(parts, "fp").distinct(), radius // 2
     if half == 0:
         return distinct.select(F.col("fp").alias("hub"), "fp").where(F.lit(False))
-    if half == 1:  # a group is its centre plus a 64-bit mask of the flipped bits: plain long aggregates
-        step = F.explode(F.sequence(F.lit(-1), F.lit(BITS - 1))).alias("bit")
-        flip = F.when(F.col("bit") < 0, F.lit(0).cast("long")).otherwise(F.expr("shiftleft(1L, bit)"))
-        groups = (
-            distinct.select("fp", step)
-            .select(F.col("fp").bitwiseXOR(flip).alias("variant"), flip.alias("mask"), F.when(F.col("bit") < 0, 1).otherwise(0).alias("centre"))
-            .groupBy("variant")
-            .agg(F.bit_or("mask").alias("mask"), F.max("centre").alias("centre"))
-            .where(F.bit_count("mask") + F.col("centre") > 1)
-        )
-        members = F.expr(
-            f"concat(if(centre = 1, array(variant), cast(array() as array<bigint>)), transform(filter(sequence(0, {BITS - 1}), "
-            "i -> (mask & shiftleft(1L, i)) != 0), i -> variant ^ shiftleft(1L, i)))"
-        )
+    if half == 1:
+        groups = ball_groups(distinct)
     else:
         masks = [reduce(lambda a, b: a | (1 << b), c, 0) for n in range(half + 1) for c in combinations(range(BITS), n)]
         signed = [m - (1 << 64) if m >> 63 else m for m in masks]
@@ -127,9 +146,8 @@ def ball_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
             .agg(F.collect_set("fp").alias("members"))  # at most the size of a ball
             .where(F.size("members") > 1)
         )
-        members = F.col("members")
     return (
-        groups.select(members.alias("members"))
+        groups.select("members")
         .select(F.array_min("members").alias("hub"), F.explode("members").alias("fp"))
         .where("hub != fp")
         .where(F.bit_count(F.col("hub").bitwiseXOR(F.col("fp"))) <= radius)
@@ -244,22 +262,46 @@ def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
     return np.unique(np.array([digest(joined[a:b], SEED) for a, b in spans], dtype="<u8"))
 
 
-def bands(hashes: np.ndarray) -> list[int]:
-    """One signed number a band, equal where all its minima (and the band) are; none for no hashes."""
+def wide_simhash(hashes: np.ndarray) -> np.ndarray:
+    """SimHash of a set in three words of 64 bits: a bit is set if it is set in over half the hashes."""
+    votes = np.zeros(3 * BITS, dtype=np.int64)
+    for at in range(0, len(hashes), _CHUNK):
+        h = hashes[at : at + _CHUNK].astype("<u8")
+        words = [h]
+        for odd, mix in zip(_ODD[:2], _MIX[:2]):
+            h = (h ^ mix) * odd
+            h = (h ^ (h >> np.uint64(32))) * odd
+            words.append(h ^ (h >> np.uint64(29)))
+        votes += np.unpackbits(np.stack(words, axis=1).view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * votes > len(hashes), bitorder="little").view("<u8")
+
+
+def prints(hashes: np.ndarray, sim: np.ndarray) -> list[int]:
+    """One signed fingerprint a table: its bits of the SimHash ``sim`` below a hash of the table's samples; none for no hashes.
+
+    A sample is the shingle with the least hash of a function of its own, so two sets have it in common
+    with the probability of their Jaccard similarity.
+    """
     if not len(hashes):
         return []
-    least = np.full(BANDS * MINIMA, np.iinfo(np.uint64).max, dtype=np.uint64)
+    least = np.full(TABLES * SAMPLES, np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(hashes), 4096):
         np.minimum(least, ((hashes[at : at + 4096, None] ^ _MIX) * _ODD).min(axis=0), out=least)
-    return [xxhash.xxh64_intdigest(row.tobytes(), k) - (1 << 63) for k, row in enumerate(least.reshape(BANDS, MINIMA))]
+    above = [xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(least.reshape(TABLES, SAMPLES))]
+    whole = int.from_bytes(sim.tobytes(), "little")
+    below = [whole >> k * SIM_BITS & (1 << SIM_BITS) - 1 for k in range(TABLES)]
+    return np.array([(a << SIM_BITS | b) & (1 << 64) - 1 for a, b in zip(above, below)], dtype="<u8").view("<i8").tolist()
 
 
 def _set_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [shingle_set(t or b"") for t in batch.column(3).to_pylist()]
         keys = [xxhash.xxh64_intdigest(h.tobytes(), SEED) - (1 << 63) for h in sets]
-        found = [pa.array(keys, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(map(bands, sets), pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *found], names=["doc_id", "k1", "k2", "key", "size", "bands"])
+        sims = [wide_simhash(h) for h in sets]
+        words = np.array(sims, dtype="<u8").reshape(-1, 3).view("<i8")
+        found = [pa.array(keys, pa.int64()), pa.array(map(len, sets), pa.int64()), *(pa.array(words[:, k].copy()) for k in range(3))]
+        found.append(pa.array(map(prints, sets, sims), pa.list_(pa.int64())))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *found], names=["doc_id", "k1", "k2", "key", "size", "s0", "s1", "s2", "prints"])
 
 
 def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,11 +311,44 @@ def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([h.view("<i8") for h in sets], pa.list_(pa.int64()))], names=["key", "hashes"])
 
 
+def _buckets(fps: DataFrame) -> DataFrame:
+    """(band, fp): fingerprints (fp, one row per set and table) by the variants on which two sets or more meet.
+
+    Only bits below the samples are flipped, so a fingerprint whose samples no other set has can meet
+    none; below one hash of samples there are at most 2 ** ``SIM_BITS``, and around a variant one more
+    than ``SIM_BITS``. A fingerprint of several sets is a bucket, too.
+    """
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = fps.groupBy(F.shiftright("fp", SIM_BITS).alias("above"), "fp").agg(F.count("*").alias("n"))
+    shared = counted.groupBy("above").agg(F.collect_list(F.struct("fp", "n")).alias("all"), F.sum("n").alias("sets")).where("sets > 1")
+    live = durable(shared.select(F.explode("all").alias("p")).select("p.*"))
+    # two fingerprints meet on two variants; only the lesser one keeps them, as in _fit
+    low = "((a ^ b) & -(a ^ b))"
+    kept = F.expr(f"filter(members, a -> exists(members, b -> a != b and least(a ^ {low}, b ^ {low}) = variant))")
+    met = ball_groups(live.select("fp").repartition(parts, "fp"), SIM_BITS).select(F.col("variant").alias("band"), F.explode(kept).alias("fp"))
+    return met.union(live.where("n > 1").select(F.col("fp").alias("band"), "fp")).distinct()
+
+
+def _fit(a: str, b: str) -> Column:
+    """Whether two members (fp, size, s0, s1, s2) of a band are compared there.
+
+    Their sizes and the bit count of their SimHashes allow the similarity, and of the two variants on
+    which two fingerprints meet the band is the lesser one; equal ones meet on their own.
+    """
+    some, whole = LEAST_SHARED
+    bits = reduce(lambda x, y: x + y, [F.bit_count(F.col(f"{a}.s{k}").bitwiseXOR(F.col(f"{b}.s{k}"))) for k in range(3)])
+    apart = F.col(f"{a}.fp").bitwiseXOR(F.col(f"{b}.fp"))
+    low = apart.bitwiseAND(-apart)
+    here = F.col("band") == F.least(F.col(f"{a}.fp").bitwiseXOR(low), F.col(f"{b}.fp").bitwiseXOR(low))
+    return here & (whole * F.least(f"{a}.size", f"{b}.size") >= some * F.greatest(f"{a}.size", f"{b}.size")) & (bits <= WIDE)
+
+
 def _meetings(members: DataFrame, *place: str) -> DataFrame:
-    """(x, y): each member ``x`` (a struct with a key) of a place with the place's first and the ``AFTER`` before it, in an order of the place's own."""
+    """(band, x, y): each member ``x`` (a struct with a key) of a place with the place's first and the ``AFTER`` before it, in an order of the place's own."""
     along = Window.partitionBy(*place).orderBy(F.xxhash64("x.key", "band"), "x.key")
     others = F.array(F.first("x").over(along), *[F.lag("x", k).over(along) for k in range(1, AFTER + 1)])
-    return members.select("x", others.alias("others")).select("x", F.explode(F.array_distinct("others")).alias("y")).where("y is not null and x.key != y.key")
+    found = members.select("band", "x", others.alias("others")).select("band", "x", F.explode(F.array_distinct("others")).alias("y"))
+    return found.where("y is not null and x.key != y.key").where(_fit("x", "y"))
 
 
 def _candidates(members: DataFrame) -> DataFrame:
@@ -328,44 +403,111 @@ def _cell_tables(cell: pa.Table) -> pa.Table:
     return pa.table([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
 
 
-def _open_links(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): links of labels that members (band, key, size, label) have in buckets that are still open.
+def _cells(members: DataFrame, blocks: str, salt: int) -> DataFrame:
+    """``members``, each once for each cell (low, high): two of the ``blocks`` (a column) that its bucket is cut into."""
+    placed = members.withColumn("block", F.pmod(F.xxhash64("key", F.lit(salt)), F.col(blocks)))
+    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1)))
+    return cells.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).drop(blocks, "other")
+
+
+def _in_cells(cells: DataFrame, of_cell: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``of_cell`` of each cell (band, low, high), one after another: a task holds one cell, and small cells cost little."""
+    place, parts = ["band", "low", "high"], int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, at = [], None
+        for batch in batches:
+            where = np.stack([batch.column(name).to_numpy() for name in place])
+            cuts = np.flatnonzero((where[:, 1:] != where[:, :-1]).any(axis=0)) + 1
+            for a, b in pairwise([0, *cuts.tolist(), len(batch)]) if len(batch) else ():
+                if held and at != tuple(where[:, a]):
+                    yield from of_cell(pa.Table.from_batches(held)).to_batches()
+                    held = []
+                at = tuple(where[:, a])
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from of_cell(pa.Table.from_batches(held)).to_batches()
+
+    return in_small_batches(cells).repartition(parts, *place).sortWithinPartitions(*place).mapInArrow(run, schema)
+
+
+def with_partner(cell: pa.Table) -> pa.Table:
+    """(band, key, label, parts) of those members (band, key, fp, size, s0, s1, s2, label, parts, block) that have a partner in their cell.
+
+    A partner has another label and fits, as in ``_fit``; if the cell has two blocks, it is in the other.
+    """
+    col = {name: cell.column(name).to_numpy() for name in ("band", "fp", "size", "label", "block")}
+    sims, (some, whole) = [cell.column(f"s{k}").to_numpy().view(np.uint64) for k in range(3)], LEAST_SHARED
+    found, apart = np.zeros(len(cell), dtype=bool), col["block"].min() != col["block"].max()
+    for at in range(0, len(cell), 256):
+        one = {name: c[at : at + 256, None] for name, c in col.items()}
+        bits = sum(np.bitwise_count(s[at : at + 256, None] ^ s).astype(np.int64) for s in sims)
+        fits = (bits <= WIDE) & (one["label"] != col["label"]) & (whole * np.minimum(one["size"], col["size"]) >= some * np.maximum(one["size"], col["size"]))
+        if apart:
+            fits &= one["block"] != col["block"]
+        low = one["fp"] ^ col["fp"]
+        low &= -low
+        fits &= np.minimum(one["fp"] ^ low, col["fp"] ^ low) == col["band"]
+        found[at : at + 256] = fits.any(axis=1)
+    return cell.select(["band", "key", "label", "parts"]).filter(pa.array(found))
+
+
+def _open_members(members: DataFrame) -> DataFrame:
+    """(band, key, label, parts): of members (band, key, fp, size, s0, s1, s2, label) those with a partner in a bucket that is still open.
 
-    A bucket is open if not all its members have met and they have different labels. It is cut into
-    blocks, and each two blocks are one cell: memory is bounded and a hot bucket is many tasks.
+    A bucket is open if not all its members have met and they have different labels. A partner has
+    another label and fits by size and bit count; bit counts are compared in cells of two blocks.
     """
     counts = members.groupBy("band").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.sum("size").alias("hashes"))
-    still_open = counts.where((F.col("n") > AFTER + 2) & (F.col("low") != F.col("high"))).select("band", F.ceil(F.col("hashes") / CELL).alias("blocks"))
-    placed = members.join(still_open, "band").withColumn("block", F.pmod(F.xxhash64("key", F.lit(CELL)), F.col("blocks")))
-    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
-    return cells.select("band", low, high, "block", "key", "label").join(sets, "key").groupBy("band", "low", "high").applyInArrow(_cell_tables, "a long, b long")
+    still_open = counts.where((F.col("n") > AFTER + 2) & (F.col("low") != F.col("high")))
+    still_open = still_open.select("band", F.ceil(F.col("n") / SIDE).alias("blocks"), F.ceil(F.col("hashes") / CELL).alias("parts"))
+    cells = _cells(members.join(still_open, "band"), "blocks", SIDE)
+    return _in_cells(cells, with_partner, "band long, key long, label long, parts long").distinct()
+
+
+def _open_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links of labels that members (band, key, label, parts) of open buckets have.
+
+    A bucket is cut into parts, and each two of them are one cell: memory is bounded and a hot bucket
+    is many tasks.
+    """
+    return _in_cells(_cells(members, "parts", CELL).join(sets, "key"), _cell_tables, "a long, b long")
+
+
+def _sets(rows: DataFrame, nodes: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, hashes): the whole sets of ``keys``, made of their texts again."""
+    ends = nodes.join(keys.distinct(), "key", "left_semi").select("row.*")
+    texts = rows.join(ends, ["k1", "k2"], "left_semi").select("text")
+    return durable(in_small_batches(texts).mapInArrow(_hash_batches, "key long, hashes array<long>").dropDuplicates(["key"]))
 
 
 def _near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, k1, k2, key, component, component_id) of each row."""
-    rows = _rows(docs, id_col, text_col)
-    marked = durable(rows.mapInArrow(_set_batches, "doc_id long, k1 long, k2 long, key long, size long, bands array<long>"))
+    rows, sim = _rows(docs, id_col, text_col), ("s0", "s1", "s2")
+    marked = durable(rows.mapInArrow(_set_batches, "doc_id long, k1 long, k2 long, key long, size long, s0 long, s1 long, s2 long, prints array<long>"))
     nodes = durable(
-        marked.groupBy("key").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.min("doc_id").alias("node"), F.min(F.struct("k1", "k2")).alias("row"))
+        marked.groupBy("key").agg(*(F.first(c).alias(c) for c in ("size", *sim, "prints")), F.min("doc_id").alias("node"), F.min(F.struct("k1", "k2")).alias("row"))
     )
-    some, whole = LEAST_SHARED
+    buckets = _buckets(nodes.select(F.explode("prints").alias("fp")))
+    members = durable(nodes.select("key", "size", *sim, F.explode("prints").alias("fp")).join(buckets, "fp"))
     pairs = durable(
-        _candidates(nodes.select(F.struct("key", "size", "row").alias("x"), F.explode("bands").alias("band")))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        _candidates(members.select("band", F.struct("key", "fp", "size", *sim).alias("x")))
+        .select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
         .distinct()
     )
-    ends = pairs.select("a.row.*").union(pairs.select("b.row.*")).distinct()  # all members of buckets of two and more
-    texts = rows.join(ends, ["k1", "k2"], "left_semi").select("text")
-    sets = durable(in_small_batches(texts).mapInArrow(_hash_batches, "key long, hashes array<long>").dropDuplicates(["key"]))
+    sets = _sets(rows, nodes, pairs.select(F.explode(F.array("a", "b")).alias("key")))
     side = lambda name: sets.select(F.col("key").alias(name), F.col("hashes").alias(f"{name}_hashes"))
-    fitting = pairs.where(whole * F.least("a.size", "b.size") >= some * F.greatest("a.size", "b.size"))  # else never so similar
-    both = fitting.select(F.col("a.key").alias("a"), F.col("b.key").alias("b")).join(side("a"), "a").join(side("b"), "b")
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    some, whole = LEAST_SHARED
     shared = F.size(F.array_intersect("a_hashes", "b_hashes"))
     links = both.where(shared * (some + whole) >= some * (F.size("a_hashes") + F.size("b_hashes"))).select("a", "b")
-    named = durable(_with_component(nodes, components(links), "key").withColumnRenamed("component", "label"))
-    further = components(_open_links(named.select("key", "size", "label", F.explode("bands").alias("band")), sets))
-    joined = named.select("key", "node", "label").join(further.withColumnRenamed("node", "label"), "label", "left").withColumn("component", F.coalesce("component", "label"))
+    named = durable(_with_component(nodes.select("key", "node"), components(links), "key").withColumnRenamed("component", "label"))
+    discard(sets)
+    discard(pairs)
+    apart = durable(_open_members(members.join(named.select("key", "label"), "key")))
+    sets = _sets(rows, nodes, apart.select("key"))
+    further = components(_open_links(apart, sets))
+    joined = named.join(further.withColumnRenamed("node", "label"), "label", "left").withColumn("component", F.coalesce("component", "label"))
     return marked.select("doc_id", "k1", "k2", "key").join(_classes(joined, "key"), "key")
 
 
