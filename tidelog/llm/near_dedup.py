@@ -42,7 +42,7 @@ WORDS, LEAST_SHARED = 5, (4, 5)
 #: with probability 0.15, so a table keeps a pair with 0.8 ** 2 * 0.89 and all miss it with 0.00004; sets
 #: of 4 and 5 shingles, the worst, differ in a bit with 0.19 and are missed with 0.00013.
 TABLES, SIM_BITS, SAMPLES = 12, 8, 2
-#: Most differing bits of the whole SimHash: even the worst pairs at 0.8 lie beyond with probability 0.000005.
+#: Most differing bits of the whole SimHash: even the worst pairs at 0.8 lie beyond with probability 0.000011.
 WIDE = 60
 #: A member of a bucket first meets the bucket's first and so many before itself; each bucket has
 #: an order of its own, so a large bucket that is one component costs its size and not its square.
