@@ -16,8 +16,12 @@ set has 12 fingerprints, each 8 of these bits below a hash of two sampled shingl
 hashing at radius 2 finds in each table which fingerprints meet: a bucket is a variant. Pairs that met
 are verified by the bit count of the whole SimHash, at a radius wide enough for 0.8, and then on the
 whole sets. In a bucket a member first meets a few others. A bucket whose members these links have all
-joined is done; in any other, members of different components are compared, all with all, in cells of
-bounded size, first by bit count and, those that have a partner, on the whole sets.
+joined is done. The members of all others are compared exactly, each set once and not once for each of
+its buckets: two sets at 0.8 or more have one of their first shingles in common, in any order of all
+shingles, so only sets of different components that share one of these are looked at, by rank, size and
+bit count and, those that have a partner, on the whole sets. The order begins with shingles that only
+one component has, which join nothing, and goes on with the rarest, so a large group is parted by what
+its members have of their own.
 """
 
 from __future__ import annotations
@@ -49,9 +53,9 @@ WIDE = 60
 AFTER = 2
 #: Members of a bucket that one task orders, about.
 BLOCK = 10_000
-#: Hashes of one block of a bucket that is still open, about; a cell compares two blocks.
+#: Hashes of one block of the sets at a common first shingle, about; a cell compares two blocks.
 CELL = 1 << 20
-#: Members of one block of such a bucket whose bit counts are compared with another's.
+#: Members of one block of the sets at a common first shingle whose bit counts are compared with another's.
 SIDE = 2_000
 _ODD, _MIX = (np.random.default_rng(SEED).integers(0, 1 << 63, (2, TABLES * SAMPLES), dtype=np.uint64) << np.uint64(1)) + np.uint64(1)
 
@@ -404,10 +408,21 @@ def _cell_tables(cell: pa.Table) -> pa.Table:
 
 
 def _cells(members: DataFrame, blocks: str, salt: int) -> DataFrame:
-    """``members``, each once for each cell (low, high): two of the ``blocks`` (a column) that its bucket is cut into."""
-    placed = members.withColumn("block", F.pmod(F.xxhash64("key", F.lit(salt)), F.col(blocks)))
-    cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1)))
-    return cells.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).drop(blocks, "other")
+    """``members``, each once for each cell (low, high): two of the ``blocks`` (a column) that its band is cut into.
+
+    In a band of several blocks the commonest label has blocks of its own, which meet those of the others
+    only: so a group that is one component but for a few sets costs its size, with each of the few.
+    """
+    labels = members.where(F.col(blocks) > 1).groupBy("band", "label").agg(F.count("*").alias("n"), F.max(blocks).alias("all"))
+    large = labels.groupBy("band").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("n"), F.max("all").alias("all"))
+    share = F.col("all") * F.col("top.n") / F.col("n")
+    large = large.select("band", F.col("top.label").alias("commonest"), F.ceil(share).alias("tops"), F.greatest(F.lit(1), F.ceil(F.col("all") - share)).alias("others"))
+    placed = members.join(large, "band", "left").withColumn("commonest", F.col("label").eqNullSafe(F.col("commonest")))
+    tops, others, hashed = F.coalesce("tops", F.lit(0)), F.coalesce("others", F.lit(1)), F.xxhash64("key", F.lit(salt))
+    block = F.when(F.col("commonest"), F.pmod(hashed, F.greatest(F.lit(1), tops))).otherwise(tops + F.pmod(hashed, others))
+    met = F.sequence(F.when(F.col("commonest"), tops).otherwise(0).cast("long"), (tops + others - 1).cast("long"))
+    cells = placed.withColumn("block", block.cast("long")).withColumn("other", F.explode(met))
+    return cells.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).drop(blocks, "other", "commonest", "tops", "others")
 
 
 def _in_cells(cells: DataFrame, of_cell: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
@@ -432,43 +447,86 @@ def _in_cells(cells: DataFrame, of_cell: Callable[[pa.Table], pa.Table], schema:
 
 
 def with_partner(cell: pa.Table) -> pa.Table:
-    """(band, key, label, parts) of those members (band, key, fp, size, s0, s1, s2, label, parts, block) that have a partner in their cell.
+    """(band, key, label, parts) of those members (band, key, size, s0, s1, s2, label, parts, block) that have a partner in their cell.
 
-    A partner has another label and fits, as in ``_fit``; if the cell has two blocks, it is in the other.
+    A partner has another label, and size and bit count fit; if the cell has two blocks, it is in the other.
+    With a ``rank`` (the shingles before the band's in the order of all), the sets have no more in common than
+    what either has from the band on. With an ``fp``, the band is the lesser variant, as in ``_fit``.
     """
-    col = {name: cell.column(name).to_numpy() for name in ("band", "fp", "size", "label", "block")}
+    col = {name: cell.column(name).to_numpy() for name in ("band", "size", "label", "block", "rank", "fp") if name in cell.column_names}
     sims, (some, whole) = [cell.column(f"s{k}").to_numpy().view(np.uint64) for k in range(3)], LEAST_SHARED
     found, apart = np.zeros(len(cell), dtype=bool), col["block"].min() != col["block"].max()
     for at in range(0, len(cell), 256):
         one = {name: c[at : at + 256, None] for name, c in col.items()}
-        bits = sum(np.bitwise_count(s[at : at + 256, None] ^ s).astype(np.int64) for s in sims)
-        fits = (bits <= WIDE) & (one["label"] != col["label"]) & (whole * np.minimum(one["size"], col["size"]) >= some * np.maximum(one["size"], col["size"]))
+        fits = (one["label"] != col["label"]) & (whole * np.minimum(one["size"], col["size"]) >= some * np.maximum(one["size"], col["size"]))
         if apart:
             fits &= one["block"] != col["block"]
-        low = one["fp"] ^ col["fp"]
-        low &= -low
-        fits &= np.minimum(one["fp"] ^ low, col["fp"] ^ low) == col["band"]
+        if "rank" in col:
+            most = np.minimum(one["size"] - one["rank"], col["size"] - col["rank"])
+            fits &= (some + whole) * most >= some * (one["size"] + col["size"])
+        if "fp" in col:
+            low = one["fp"] ^ col["fp"]
+            low &= -low
+            fits &= np.minimum(one["fp"] ^ low, col["fp"] ^ low) == col["band"]
+        if fits.any():
+            fits &= sum(np.bitwise_count(s[at : at + 256, None] ^ s).astype(np.int64) for s in sims) <= WIDE
         found[at : at + 256] = fits.any(axis=1)
     return cell.select(["band", "key", "label", "parts"]).filter(pa.array(found))
 
 
-def _open_members(members: DataFrame) -> DataFrame:
-    """(band, key, label, parts): of members (band, key, fp, size, s0, s1, s2, label) those with a partner in a bucket that is still open.
+def _open_sets(members: DataFrame, buckets: DataFrame, named: DataFrame) -> DataFrame:
+    """(key, label): sets in a bucket (band, fp) that is still open, of members (key, fp) and their labels (key, label).
 
-    A bucket is open if not all its members have met and they have different labels. A partner has
-    another label and fits by size and bit count; bit counts are compared in cells of two blocks.
+    A bucket is open if not all its members have met and they have different labels. It is counted by
+    fingerprints, of which it has few, so a set is not told again for each of its buckets.
     """
-    counts = members.groupBy("band").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.sum("size").alias("hashes"))
+    inside = members.select("key", "fp").distinct().join(named, "key")
+    prints = inside.groupBy("fp").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+    counts = buckets.join(prints, "fp").groupBy("band").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
     still_open = counts.where((F.col("n") > AFTER + 2) & (F.col("low") != F.col("high")))
-    still_open = still_open.select("band", F.ceil(F.col("n") / SIDE).alias("blocks"), F.ceil(F.col("hashes") / CELL).alias("parts"))
-    cells = _cells(members.join(still_open, "band"), "blocks", SIDE)
+    fps = buckets.join(still_open.select("band"), "band", "left_semi").select("fp").distinct()
+    return inside.join(fps, "fp", "left_semi").select("key", "label").distinct()
+
+
+def _first_shingles(among: DataFrame, sets: DataFrame) -> DataFrame:
+    """(band, key, rank): the first shingles (as bands) of sets (key, label, size), those left out that sets of one label alone have.
+
+    All shingles have one order: first those of one label, then by the number of sets that have them. Of
+    two sets at 0.8 or more the least common shingle is among the first fifth of either, and one more.
+    """
+    some, whole = LEAST_SHARED
+    held = sets.join(among.select("key", "label", "size"), "key").select("key", "label", "size", F.explode("hashes").alias("band"))
+    holders = held.groupBy("band").agg(F.count("*").alias("holders"), F.min("label").alias("low"), F.max("label").alias("high"))
+    mixed = held.join(holders.where("low != high").select("band", "holders"), "band")
+    each = mixed.groupBy("key").agg(F.first("size").alias("size"), F.array_sort(F.collect_list(F.struct("holders", "band"))).alias("mixed"))
+    each = each.select("key", "mixed", F.expr("size - size(mixed)").alias("own"), F.expr(f"size - ({some} * size + {whole} - 1) div {whole} + 1").alias("first"))
+    each = each.where("first > own").select("key", "own", F.posexplode(F.expr("slice(mixed, 1, cast(first - own as int))")).alias("at", "shingle"))
+    return each.select("shingle.band", "key", (F.col("own") + F.col("at")).alias("rank"))
+
+
+def _open_members(among: DataFrame, sets: DataFrame) -> DataFrame:
+    """(band, key, label, parts): of sets (key, label, size, s0, s1, s2) those with a partner at one of their first shingles.
+
+    A set whose shingles from the band on are too few for the smallest set there goes at once; the others
+    are compared in cells of two blocks, so a shingle that is many sets' first is many tasks.
+    """
+    some, whole = LEAST_SHARED
+    placed = durable(_first_shingles(among, sets).join(among, "key"))
+    least = placed.groupBy("band").agg(F.min("size").alias("least"), F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
+    other = F.greatest("least", F.expr(f"({some} * size + {whole} - 1) div {whole}"))
+    able = placed.join(least.select("band", "least"), "band").where((some + whole) * (F.col("size") - F.col("rank")) >= some * (F.col("size") + other)).drop("least")
+    able = durable(able)
+    discard(placed)
+    counts = able.groupBy("band").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.sum("size").alias("hashes"))
+    shared = counts.where("low != high").select("band", F.ceil(F.col("n") / SIDE).alias("blocks"), F.ceil(F.col("hashes") / CELL).alias("parts"))
+    cells = _cells(able.join(shared, "band"), "blocks", SIDE)
     return _in_cells(cells, with_partner, "band long, key long, label long, parts long").distinct()
 
 
 def _open_links(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): links of labels that members (band, key, label, parts) of open buckets have.
+    """(a, b): links of labels that members (band, key, label, parts) of bands have.
 
-    A bucket is cut into parts, and each two of them are one cell: memory is bounded and a hot bucket
+    A band is cut into parts, and each two of them are one cell: memory is bounded and a hot band
     is many tasks.
     """
     return _in_cells(_cells(members, "parts", CELL).join(sets, "key"), _cell_tables, "a long, b long")
@@ -488,7 +546,7 @@ def _near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     nodes = durable(
         marked.groupBy("key").agg(*(F.first(c).alias(c) for c in ("size", *sim, "prints")), F.min("doc_id").alias("node"), F.min(F.struct("k1", "k2")).alias("row"))
     )
-    buckets = _buckets(nodes.select(F.explode("prints").alias("fp")))
+    buckets = durable(_buckets(nodes.select(F.explode("prints").alias("fp"))))
     members = durable(nodes.select("key", "size", *sim, F.explode("prints").alias("fp")).join(buckets, "fp"))
     pairs = durable(
         _candidates(members.select("band", F.struct("key", "fp", "size", *sim).alias("x")))
@@ -504,9 +562,12 @@ def _near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     named = durable(_with_component(nodes.select("key", "node"), components(links), "key").withColumnRenamed("component", "label"))
     discard(sets)
     discard(pairs)
-    apart = durable(_open_members(members.join(named.select("key", "label"), "key")))
-    sets = _sets(rows, nodes, apart.select("key"))
-    further = components(_open_links(apart, sets))
+    among = durable(_open_sets(members, buckets, named.select("key", "label")).join(nodes.select("key", "size", *sim), "key"))
+    discard(members)
+    discard(buckets)
+    sets = _sets(rows, nodes, among.select("key"))
+    further = components(_open_links(durable(_open_members(among, sets)), sets))
+    discard(sets)
     joined = named.join(further.withColumnRenamed("node", "label"), "label", "left").withColumn("component", F.coalesce("component", "label"))
     return marked.select("doc_id", "k1", "k2", "key").join(_classes(joined, "key"), "key")
 
