@@ -322,3 +322,41 @@ def test_a_run_that_ends_by_itself_takes_as_many_batches_as_the_log_needs(spark,
     config = Config(log_dir=str(folder), checkpoint_file=str(tmp_path / "cp"), start_file="mysql-bin.000001", decode_queue_size=40, threads=1)
     start(spark, config, SqlSink(None, got.append), str(tmp_path / "state"), available_now=True).awaitTermination()
     assert got == want and len(rows) > 40
+
+
+def test_small_files_share_a_task_and_large_ones_have_their_own(spark, logs, monkeypatch):
+    folder, rows = logs
+    reader = binlog.BinlogStreamReader({"path": str(folder)})
+    whole = lambda: reader.partitions(reader.initialOffset(), reader.latestOffset())
+    read = lambda tasks: [(f, p, b) for t in tasks for batch in reader.read(t) for f, p, b in zip(*(c.to_pylist() for c in batch.columns))]
+    assert len(whole()) == 1 and read(whole()) == [(f, p, bytes(b)) for f, p, b in rows]
+    monkeypatch.setattr(binlog, "TASK_BYTES", 100)
+    assert len(whole()) == 2 and read(whole()) == [(f, p, bytes(b)) for f, p, b in rows]
+
+
+def test_a_file_has_what_the_callback_has_taken(spark, tmp_path):
+    df = spark.createDataFrame([(k, 0, f"é{k};\n") for k in range(50)], T.STATEMENTS)
+    got = []
+
+    def refuses(sql):
+        if len(got) == 20 and "20" in sql and not failed:
+            failed.append(sql)
+            raise RuntimeError("the sink is full")
+        got.append(sql)
+
+    failed = []
+    sink = SqlSink(str(tmp_path / "out.sql"), refuses)
+    with pytest.raises(RuntimeError, match="full"):
+        sink.write(df)
+    assert (tmp_path / "out.sql").read_text() == "".join(got) and sink.last == (19, 0)
+    assert sink.write(df, sink.last) == 30
+    assert (tmp_path / "out.sql").read_text() == "".join(got) == "".join(f"é{k};\n" for k in range(50))
+
+
+def test_a_batch_is_planned_over_files_not_over_the_plans_before(spark, tmp_path, monkeypatch):
+    sizes = []
+    sink = SqlSink(None, lambda s: None)
+    monkeypatch.setattr(sink, "write", lambda df, after: sizes.append(len(df._jdf.queryExecution().toString())) or 0)
+    pipeline = Pipeline(Config(checkpoint_file=str(tmp_path / "cp")), sink, str(tmp_path / "carried"))
+    pipeline.run(spark.createDataFrame(E.log(transaction(1)), T.RAW), 0)
+    assert sizes[0] < 20_000

@@ -14,6 +14,7 @@ readers, from any store.
 
 from __future__ import annotations
 
+import mmap
 import os
 import re
 import struct
@@ -44,32 +45,40 @@ def locate(path: str, name: str) -> str:
     return os.path.join(path, name) if os.path.isdir(path) else path
 
 
+def _open(f):
+    """The bytes of an open log file, mapped: an event takes no calls of the system."""
+    return mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ) if os.fstat(f.fileno()).st_size else b""
+
+
+def read_places(data, start: int = START, end: int | None = None) -> Iterator[tuple[int, int]]:
+    """(position, length) of the whole events of a log's bytes from ``start``; stops before a part of one."""
+    at, size, length_at = max(start, START), len(data), struct.Struct("<I").unpack_from
+    while at + HEADER <= size and (end is None or at < end):
+        length = length_at(data, at + 9)[0]
+        if length < HEADER or at + length > size:
+            return
+        yield at, length
+        at += length
+
+
 def read_events(file: str, start: int = START, end: int | None = None) -> Iterator[tuple[int, bytes]]:
     """(position, bytes) of the whole events from ``start``; stops before a part of one."""
     with open(file, "rb") as f:
-        if f.read(4) != MAGIC:
+        data = _open(f)
+        if data[:4] != MAGIC:
             raise ValueError(f"{file} is no log file")
-        f.seek(max(start, START))
-        while end is None or f.tell() < end:
-            at, head = f.tell(), f.read(HEADER)
-            if len(head) < HEADER:
-                return
-            size = struct.unpack_from("<I", head, 9)[0]
-            body = head + f.read(max(size, HEADER) - HEADER)
-            if size < HEADER or len(body) < size:
-                return
-            yield at, body
+        for at, length in read_places(data, start, end):
+            yield at, data[at : at + length]
 
 
 def scan_end(file: str, start: int, most: int, end: int | None = None) -> tuple[int, int]:
     """(position after at most ``most`` whole events, how many), none beyond ``end``: reads the headers only."""
-    n, size = 0, os.path.getsize(file)
-    size = size if end is None else min(size, end)
     with open(file, "rb") as f:
-        at = max(start, START)
+        data = _open(f)
+        n, at = 0, max(start, START)
+        size, length_at = len(data) if end is None else min(len(data), end), struct.Struct("<I").unpack_from
         while n < most and at + HEADER <= size:
-            f.seek(at + 9)
-            length = struct.unpack("<I", f.read(4))[0]
+            length = length_at(data, at + 9)[0]
             if length < HEADER or at + length > size:
                 break
             at, n = at + length, n + 1
@@ -112,8 +121,35 @@ class Span(InputPartition):
         self.file, self.name, self.start, self.end, self.executed = file, name, start, end, executed
 
 
+class Spans(InputPartition):
+    """Spans that one task reads."""
+
+    def __init__(self, spans: list[Span]):
+        self.spans = spans
+
+
+#: Bytes of log files that one task reads; a larger file is a task of its own.
+TASK_BYTES = 4 << 20
+
+
+def dealt(spans: list[Span]) -> list[Spans]:
+    """Spans, in their order, in tasks of about ``TASK_BYTES``, so that many small files take few tasks."""
+    out, size = [], 0
+    for span in spans:
+        own = max(0, (os.path.getsize(span.file) if span.end is None else span.end) - span.start)
+        if not out or size + own > TASK_BYTES:
+            out.append([])
+            size = 0
+        out[-1].append(span)
+        size += own
+    return [Spans(s) for s in out]
+
+
 def _batches(span: Span) -> Iterator[pa.RecordBatch]:
     """Rows of a span in batches of 4,096 events or 8 MB, about."""
+    if not span.executed:
+        yield from _whole(span)
+        return
     out, size = [], 0
     for row in _rows(span):
         out.append(row)
@@ -125,11 +161,31 @@ def _batches(span: Span) -> Iterator[pa.RecordBatch]:
         yield _batch(out)
 
 
+def _whole(span: Span) -> Iterator[pa.RecordBatch]:
+    """``_batches`` where nothing is left out: the events lie one behind the other, so their column is a piece of the file."""
+
+    def batch() -> pa.RecordBatch:
+        first, size = starts[0], ends[-1] - starts[0]
+        offsets = pa.array([s - first for s in starts] + [size], pa.int32())
+        bodies = pa.Array.from_buffers(pa.binary(), len(starts), [None, offsets.buffers()[1], pa.py_buffer(data[first : first + size])])
+        return pa.RecordBatch.from_arrays([pa.array([span.name] * len(starts), pa.string()), pa.array(starts, pa.int64()), bodies], names=["log_file", "start_pos", "body"])
+
+    with open(span.file, "rb") as f:
+        data = _open(f)
+        if data[:4] != MAGIC:
+            raise ValueError(f"{span.file} is no log file")
+        starts, ends = [], []
+        for at, length in read_places(data, span.start, span.end):
+            if starts and (len(starts) >= 4096 or at + length - starts[0] > 8 << 20):
+                yield batch()
+                starts, ends = [], []
+            starts.append(at)
+            ends.append(at + length)
+        if starts:
+            yield batch()
+
+
 def _rows(span: Span) -> Iterator[tuple]:
-    if not span.executed:
-        for at, body in read_events(span.file, span.start, span.end):
-            yield span.name, at, body
-        return
     done, skip = Executed(span.executed), False
     for at, body in read_events(span.file, START, span.end):  # from the head: a span may begin inside a transaction
         if body[4] == GTID:
@@ -153,17 +209,17 @@ class BinlogReader(DataSourceReader):
                 self.only = f.value
             yield f  # rows are filtered again, as files may share a name
 
-    def partitions(self) -> list[Span]:
+    def partitions(self) -> list[Spans]:
         names = log_files(self.path)
         if self.first:
             if self.first not in names:
                 raise ValueError(f"there is no log file {self.first} in {self.path}")
             names = names[names.index(self.first) :]
         kept = [n for n in names if self.only in (None, n)]
-        return [Span(locate(self.path, n), n, self.at if n == self.first else START, None, self.executed) for n in kept] or [Span("", "", 0, 0)]
+        return dealt([Span(locate(self.path, n), n, self.at if n == self.first else START, None, self.executed) for n in kept]) or [Spans([])]
 
-    def read(self, partition: Span) -> Iterator[pa.RecordBatch]:
-        return _batches(partition) if partition.file else iter(())
+    def read(self, partition: Spans) -> Iterator[pa.RecordBatch]:
+        return (b for span in partition.spans for b in _batches(span))
 
 
 class BinlogStreamReader(DataSourceStreamReader):
@@ -193,7 +249,7 @@ class BinlogStreamReader(DataSourceStreamReader):
         self.reached = at
         return at
 
-    def partitions(self, start: dict, end: dict) -> list[Span]:
+    def partitions(self, start: dict, end: dict) -> list[Spans]:
         self.reached = end if self.reached is None else self.reached
         out, inside = [], False
         for name in log_files(self.path):
@@ -204,10 +260,10 @@ class BinlogStreamReader(DataSourceStreamReader):
                     out.append(Span(locate(self.path, name), name, a, b, self.executed))
             if name == end["file"]:
                 break
-        return out
+        return dealt(out)
 
-    def read(self, partition: Span) -> Iterator[pa.RecordBatch]:
-        return _batches(partition)
+    def read(self, partition: Spans) -> Iterator[pa.RecordBatch]:
+        return (b for span in partition.spans for b in _batches(span))
 
     def commit(self, end: dict) -> None:
         """Log files stay where they are."""
